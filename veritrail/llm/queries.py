@@ -33,6 +33,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from veritrail.llm.quality import quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veritrail.llm.bpe import bpe_round_trip
 
@@ -40,7 +46,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_line_dedup, op5_packing, op8_bpe)}
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from veritrail.llm.fingerprint import edit_likeness
+
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_line_dedup, op5_packing, op6_quality, op8_bpe, op10_fingerprint)}
 
 LINE_DEDUP_SQL = r"""
 WITH lines AS (
