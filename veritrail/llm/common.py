@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritrail.session import ship_package
+
 #: White space that separates words: space and U+0009 to U+000D.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 WORD_SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -37,7 +39,8 @@ def ascii_lower(c: Column) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch; kept if the session already asks for less."""
+    """Make ready for Python workers: the package is shipped, and the rows of an Arrow batch are bounded (kept if the session already asks for less)."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
