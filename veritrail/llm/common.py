@@ -46,6 +46,12 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+def once(df: DataFrame) -> DataFrame:
+    """The same rows. Filters and expressions above it do not move below it, where the optimizer would copy costly columns into them, even into the
+    functions that run for each element of an array."""
+    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a checkpoint in the shared folder of spark.checkpoint.dir.
 
