@@ -24,6 +24,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", F.col("_slot").alias("slot"), F.col("_shard").alias("shard"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from veritrail.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veritrail.llm.simhash import simhash_components
 
@@ -49,6 +55,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from veritrail.llm.licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veritrail.llm.bpe import bpe_round_trip
 
@@ -68,7 +80,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_simhash, op4_line_dedup, op5_packing, op6_quality, op8_bpe, op9_toxicity, op10_fingerprint)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_html, op3_simhash, op4_line_dedup, op5_packing, op6_quality, op7_license, op8_bpe, op9_toxicity, op10_fingerprint)}
 
 LINE_DEDUP_SQL = r"""
 WITH lines AS (
