@@ -89,8 +89,8 @@ def persistence(edges: DataFrame) -> DataFrame:
 
 
 def competing_claims(edges: DataFrame) -> DataFrame:
-    """Objects that two subjects or more claim in two documents or more, claims in order of date and subject."""
-    claims = edges.where(F.col("assertion").isin(*CLAIMS)).dropDuplicates(["object_id", "subject_id", "source_sha256"])
+    """Objects that two subjects or more claim in two documents or more. A subject claims once for each document, at its earliest date; claims are in order of date and subject."""
+    claims = edges.where(F.col("assertion").isin(*CLAIMS)).groupBy("object_id", "subject_id", "source_sha256").agg(F.min("source_date").alias("source_date"))
     grouped = claims.groupBy("object_id").agg(F.count_distinct("subject_id").alias("subjects"), F.count_distinct("source_sha256").alias("docs"), F.array_sort(F.collect_list(F.struct("source_date", "subject_id"))).alias("claims"))
     return grouped.where("subjects >= 2 and docs >= 2")
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from veritrail.plans import log_queries
+from veritrail.plans import graph_queries, log_queries
 
-MODULES = (log_queries,)
+MODULES = (log_queries, graph_queries)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
