@@ -187,3 +187,28 @@ ORACLES = {
       SELECT o.url, CASE WHEN direct = 'S' THEN 'ARCHIVED_CONTENT' WHEN direct IS NOT NULL THEN 'RECOVERED_OFFICIAL_MIRROR' WHEN archived THEN 'RECOVERED_WEB_ARCHIVE' WHEN st IN (401, 403) THEN 'ACCESS_RESTRICTED' WHEN st = 200 THEN 'UNRESOLVED_CHALLENGE' ELSE 'NON_CONTENT_TECHNICAL_RESPONSE' END AS state FROM o LEFT JOIN d ON o.url = d.url""",
     "idempotent_links": f"WITH {LOG_SQL} SELECT substr(sha256(url || '|' || sha256), 1, 16) AS link_key, min(seq) AS first_seq FROM log WHERE sha256 IS NOT NULL GROUP BY 1",
 }
+
+
+def stream_ledger(spark, sf_dir):
+    """The ledger by Structured Streaming over the same log, as a file source read to its end."""
+    import tempfile
+    import uuid
+
+    from veritrail.session import ship_package
+    from veritrail.streaming import incremental
+
+    ship_package(spark)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
+    place, name = f"{shared}/stream-{uuid.uuid4().hex}", f"ledger_{uuid.uuid4().hex}"
+    log(spark, sf_dir).select("url", "retrieved_at", "seq", "sha256", "http_status").write.parquet(f"{place}/in")
+    rows = spark.readStream.schema("url string, retrieved_at string, seq long, sha256 string, http_status int").parquet(f"{place}/in")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{place}/out")
+
+    incremental.stream_ledger(rows).writeStream.queryName(name).outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    return logstate.latest_per_key(spark.read.parquet(f"{place}/out"), "url", ["batch"]).drop("batch")
+
+
+QUERIES["stream_ledger"] = stream_ledger
+ORACLES["stream_ledger"] = ORACLES["ledger_rows"]

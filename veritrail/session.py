@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(app: str = "veritrail", **conf: str) -> SparkSession:
@@ -44,3 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
+
+
+def once(df: DataFrame) -> DataFrame:
+    """The same rows. Filters above it do not move below it, where the optimizer would copy costly columns into them, even into the
+    functions that run for each element of an array."""
+    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
