@@ -54,7 +54,8 @@ GRAMMARS = [
     ("D", "shell_named", "shell company named/called {object}"), ("D", "used_shells", "{subject} used/uses shell companies including/named {object}"), ("D", "nominee_for", "{subject} is/was/acted as? a? nominee for {object}"),
     ("E", "transferred_to", "{subject} transferred/wired/sent approximately/about? {amount} {scale}? to {object}"), ("E", "received_from", "{object} received approximately/about? {amount} {scale}? from {subject}"), ("E", "wire_from_to", "{amount} {scale}? was/were? wired/transferred from {subject} to {object}"),
 ]
-NAME = r"[A-Z][\w&.'’-]*(?:\s+(?:[A-Z][\w&.'’-]*|of|and|&)(?=\s|[,;.)]|$))*(?:,?\s(?:Inc|LLC|Ltd|Corp|Co|LP|LLP|PLC)\b\.?)?"
+WORD = r"[A-Z][\w&'’-]*(?:\.[\w&'’-]+)*"
+NAME = rf"{WORD}(?:\s+(?:{WORD}|of|and|&)(?=\s|[,;.)]|$))*(?:,?\s(?:Inc|LLC|Ltd|Corp|Co|LP|LLP|PLC)\b\.?)?"
 SLOTS = {"subject": NAME, "object": NAME, "pct": r"\d{1,3}(?:\.\d+)?\s*(?:%|percent)", "amount": r"\$\s?\d[\d,]*(?:\.\d+)?", "scale": r"(?:thousand|million|billion)"}
 
 

@@ -27,7 +27,9 @@ def json_log(spark: SparkSession, path: str, schema: str, mode: str = "skip") ->
     """JSON lines, gzip or not. mode: skip (malformed rows go), keep (they stay in _corrupt), fail."""
     if mode == "fail":
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    rows = spark.read.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    # parsed line by line, so that counting alone sees malformed lines too
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    rows = lines.select(F.from_json("value", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
     return rows if mode == "keep" else rows.where(f"{CORRUPT} is null").drop(CORRUPT)
 
 
