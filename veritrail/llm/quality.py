@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import WORD_SPACE, WORD_SPACE_CLASS, text_of
+from veritrail.llm.common import WORD_SPACE, WORD_SPACE_CLASS, once, text_of
 
 #: The list is fitted on so many labelled documents at most, those with the least hash of the id.
 SAMPLE = 20_000
@@ -75,7 +75,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "n_dup_lines": F.size("worded") - F.size(F.array_distinct("worded")), "n_repeat_words": repeated,
         "n_upper": F.col("n_upper"), "n_exclaims": F.col("n_exclaims"), "n_distinct_words": F.size(F.array_distinct("w")), "n_lines": F.col("n_lines"),
     }
-    return base.select("id", *(c.cast("long").alias(k) for k, c in made.items()))
+    return once(base.select("id", *(c.cast("long").alias(k) for k, c in made.items())))
 
 
 def base_failed() -> Column:
