@@ -27,10 +27,10 @@ from pyspark.sql import types as T
 from veritrail.llm.common import small_batches, text_of
 
 #: White space as Unicode's White_Space property has it (Python's \s has U+001C to U+001F besides).
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Where this is absent, chunks are what stands between single spaces and line feeds.
-UNEVEN = re.compile(r"[\x00\t\x0b\x0c\r\x85\xa0  -     　]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+UNEVEN = re.compile(r"[\x00\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 #: The published splitting pattern of this tokenizer family, with its white space spelled out.
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Entries of each memo; a full one is emptied. Longer keys are not kept.

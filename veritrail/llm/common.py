@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.session import ship_package
+from veritrail.session import cut, once, ship_package  # noqa: F401
 
 #: White space that separates words: space and U+0009 to U+000D.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -44,21 +42,3 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
-
-
-def once(df: DataFrame) -> DataFrame:
-    """The same rows. Filters and expressions above it do not move below it, where the optimizer would copy costly columns into them, even into the
-    functions that run for each element of an array."""
-    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder of spark.checkpoint.dir.
-
-    The folder is set here only where the cluster names none, as in tests.
-    """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
