@@ -20,6 +20,8 @@ def test_locators_reproduce_matches(spark):
     checked = corpus.locators_hold(found, t).collect()
     assert checked and all(r.holds for r in checked)
     assert {"OWNERSHIP_EXPLICIT", "SHELL_NOMINEE", "FINANCIAL_FLOW"} <= {r.category for r in checked if r.id == 1}
+    groups = {r.term: list(r.matched_groups) for r in checked if r.category == "STRUCTURED" and r.id == 1}
+    assert groups["entity_owned_by"] == ["Acme Widgets LLC", "John Smith"]
     third = [r for r in checked if r.id == 3]
     assert len(third) == 40 and {r.overflow for r in third} == {20} and sorted(r.seq for r in third) == list(range(40))
 

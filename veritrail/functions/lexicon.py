@@ -35,6 +35,11 @@ SPANS = {
     },
     "FORMATION_DISSOLUTION": {"formation_docs": "articles/certificate of incorporation/organization/formation", "incorporated_in": "incorporated/organized/formed in/under", "dissolution": "dissolved/dissolution", "merger": "merger/merged with/into", "acquired": "acquired by"},
 }
+# Structures whose slots are captured, in the order in which they are tried.
+STRUCTURED = {
+    "person_role_entity": "{subject}, the? president/director/officer/manager/owner/member/trustee of {object}", "entity_owned_by": "{object} is/was/are/were? owned by {subject}",
+    "entity_subsidiary_of": "{object}, a/an? wholly? owned? subsidiary of {subject}", "pct_of_entity": "{pct} of {object}",
+}
 # Document classes with their terms.
 CLASSES = {
     "BOI_CTA": "corporate transparency act", "BOSS": "beneficial ownership secure system", "BENEFICIAL_OWNERSHIP": "beneficial own*", "CORPORATE_OWNERSHIP": "owned by", "SUBSTANTIAL_CONTROL": "substantial control", "PARENT_SUBSIDIARY": "subsidiary/subsidiaries", "SHELL_COMPANY": "shell company/companies",
@@ -81,7 +86,9 @@ def compile_term(term: str, spans: bool = True) -> re.Pattern[str]:
 
 
 def span_patterns() -> list[tuple[str, str, re.Pattern[str]]]:
-    return [(category, name, compile_term(term)) for category, terms in SPANS.items() for name, term in terms.items()]
+    """(category, name, pattern); patterns of the category STRUCTURED have groups."""
+    plain = [(category, name, compile_term(term)) for category, terms in SPANS.items() for name, term in terms.items()]
+    return plain + [("STRUCTURED", name, compile_term(term, spans=False)) for name, term in STRUCTURED.items()]
 
 
 def class_patterns() -> list[tuple[str, re.Pattern[str]]]:

@@ -79,12 +79,12 @@ def line_offsets(texts: DataFrame) -> DataFrame:
 
 
 def spans(texts: DataFrame) -> DataFrame:
-    """texts(id, text) to a row per match: id, seq, category, term, line, character_start, character_end, matched_text, context_before, context_after.
+    """texts(id, text) to a row per match: id, seq, category, term, line, character_start, character_end, matched_text, context_before, context_after, matched_groups (of structures; else empty).
 
     seq is the place among the document's kept matches; of a category 40 stay in each document, overflow tells how many more there were.
     """
     ship_package(texts.sparkSession)
-    schema = "id long, seq int, category string, term string, line int, character_start int, character_end int, matched_text string, context_before string, context_after string, overflow int"
+    schema = "id long, seq int, category string, term string, line int, character_start int, character_end int, matched_text string, context_before string, context_after string, matched_groups array<string>, overflow int"
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         patterns = lexicon.span_patterns()
@@ -100,7 +100,7 @@ def spans(texts: DataFrame) -> DataFrame:
                 for category, term, pattern in patterns:
                     for number, start, line in lines:
                         for m in pattern.finditer(line):
-                            found.setdefault(category, []).append((category, term, number, start + m.start(), start + m.end(), m[0], text[max(0, start + m.start() - 150) : start + m.start()], text[start + m.end() : start + m.end() + 150]))
+                            found.setdefault(category, []).append((category, term, number, start + m.start(), start + m.end(), m[0], text[max(0, start + m.start() - 150) : start + m.start()], text[start + m.end() : start + m.end() + 150], list(m.groups())))
                 seq = 0
                 for rows in found.values():
                     rows.sort(key=lambda r: r[2])
