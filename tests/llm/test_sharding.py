@@ -47,6 +47,8 @@ def test_shard_frame(spark, tmp_path):
     table = sharding.fill_table(shards, 101)
     out = got.collect()
     assert len(out) == len(rows) and all(r._shard == shards[table[r._slot]] and r._slot == sharding_slot(r.doc_id) for r in out)
+    clash = sharding.shard(frame.withColumn("_slot", frame.slot), shards, size=101)
+    assert clash.columns.count("_slot") == 2 and [r[3] for r in clash.where("doc_id = 7 and shard = 'again'").collect()] == [3]
     assert sharding.shard(frame.limit(0), shards).count() == 0
     sharding.write_shards(frame.drop("shard"), str(tmp_path / "out"), shards, files_per_shard=2, size=101)
     back = spark.read.parquet(str(tmp_path / "out"))

@@ -78,7 +78,8 @@ def shard(docs: DataFrame, shards: Sequence[str], key_col: str = "doc_id", size:
     """
     table = lookup(docs.sparkSession, shards, size, weights)
     named = table.select(F.col("slot").alias("_slot"), F.col("shard_id").alias("_shard_id"), F.col("shard").alias("_shard"))
-    return docs.withColumn("_slot", slot_of(docs[key_col], size)).join(F.broadcast(named), "_slot").select(*(F.col(f"`{c}`") for c in docs.columns), "_slot", "_shard_id", "_shard")
+    whole = docs.select(F.struct("*").alias("row"), slot_of(F.col(key_col), size).alias("_slot"))  # own columns of any name stay apart
+    return whole.join(F.broadcast(named), "_slot").select("row.*", "_slot", "_shard_id", "_shard")
 
 
 def write_shards(docs: DataFrame, path: str, shards: Sequence[str], key_col: str = "doc_id", files_per_shard: int = 1, **options) -> None:

@@ -108,14 +108,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     groups = cut(simhash_components(docs, id_col, text_col).withColumnRenamed(id_col, "id"))
     named = groups.where("id = component_id").select("id").distinct()
-    kept = docs.join(named.withColumnRenamed("id", "_kept_id"), F.col(id_col) == F.col("_kept_id"), "left_semi")
+    kept = docs.join(named, docs[id_col] == named["id"], "left_semi")
     counts = docs.agg(F.count(F.col(id_col)).alias("n"), F.count_distinct(F.col(id_col)).alias("d"), F.count(F.when(F.col(id_col).isNull(), 1)).alias("nulls")).first()
     if counts["n"] != counts["d"]:
         kept = kept.dropDuplicates([id_col])
     if counts["nulls"]:
         alone = groups.where("component_id is null").select("fingerprint")
         small_batches(docs.sparkSession)
-        unnamed = docs.where(F.col(id_col).isNull()).withColumn("_fp", F.lower(F.lpad(F.hex(fingerprint_udf()(text_of(text_col))), 16, "0")))
-        unnamed = unnamed.join(alone.select(F.col("fingerprint").alias("_fp")).distinct(), "_fp", "left_semi").dropDuplicates(["_fp"])
+        unnamed = docs.where(F.col(id_col).isNull()).withColumn("_fingerprint_of_row", F.lower(F.lpad(F.hex(fingerprint_udf()(text_of(text_col))), 16, "0")))
+        unnamed = unnamed.join(alone.select(F.col("fingerprint").alias("_fingerprint_of_row")).distinct(), "_fingerprint_of_row", "left_semi").dropDuplicates(["_fingerprint_of_row"])
         kept = kept.unionByName(unnamed.select(*docs.columns))
     return kept
