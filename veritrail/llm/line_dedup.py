@@ -3,9 +3,9 @@
 Explode the normalised lines, hash them, count distinct documents per hash, drop the
 lines whose hash reaches the threshold and reassemble the rest by position. Everything
 is DataFrame functions. Only 24-byte rows (hash, document key, position) meet at the
-counting and at the join with the dropped hashes; both pre-aggregate per document, and
-the join is an inner equi-join whose hot hashes adaptive execution splits. Texts are
-shuffled once, by a 128-bit key of (id, text), to meet the positions they lose.
+counting and at the join with the dropped hashes. Counting pre-aggregates per document and task. At the
+join the HOT most frequent dropped hashes are broadcast, so of the occurrences that are shuffled no hash has more
+than one in HOT. Texts are shuffled once, by a 128-bit key of (id, text), to meet the positions they lose.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import WORD_SPACE, row_key, text_of
+from veritrail.llm.common import WORD_SPACE, cut, row_key, text_of
+
+#: Rows of the broadcast with the most frequent dropped hashes, at any size of the corpus.
+HOT = 1024
 
 
 def line_key_hash(line: Column) -> Column:
@@ -58,14 +61,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split(text_of(text_col), "\n")
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     keyed = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2"))
-    shared = shared_lines(docs, text_col, min_docs, min_chars)
+    shared = cut(shared_lines(docs, text_col, min_docs, min_chars))
+    hot = shared.orderBy(F.desc("n_docs"), "h1", "h2").limit(HOT).select("h1", "h2", F.lit(True).alias("is_hot"))
     occurrences = docs.select(k1.alias("k1"), k2.alias("k2"), F.posexplode(F.transform(lines, line_key_hash)).alias("pos", "key")).where(F.col("key.n") >= min_chars)
-    dropped = (
-        occurrences.select("k1", "k2", "pos", F.col("key.h1").alias("h1"), F.col("key.h2").alias("h2"))
-        .join(shared.select("h1", "h2"), ["h1", "h2"])
-        .groupBy("k1", "k2")
-        .agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
-    )
+    marked = occurrences.select("k1", "k2", "pos", F.col("key.h1").alias("h1"), F.col("key.h2").alias("h2")).join(F.broadcast(hot), ["h1", "h2"], "left")
+    # occurrences of hot hashes are settled: they travel by their document's key, which spreads them and matches nothing
+    travel = {"j1": F.when(F.col("is_hot"), F.col("k1")).otherwise(F.col("h1")), "j2": F.when(F.col("is_hot"), F.col("k2")).otherwise(F.col("h2"))}
+    rest = shared.join(F.broadcast(hot), ["h1", "h2"], "left_anti").select(F.col("h1").alias("j1"), F.col("h2").alias("j2"), F.lit(True).alias("is_shared"))
+    gone = marked.withColumns(travel).join(rest, ["j1", "j2"], "left").where("is_hot or is_shared")
+    dropped = gone.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
     whole = keyed.join(dropped, ["k1", "k2"], "left").select("row", text.alias("text"), F.split(text, "\n").alias("lines"), "dropped")
     rebuilt = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(without_positions(F.col("lines"), F.col("dropped")), "\n"))
