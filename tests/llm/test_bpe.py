@@ -17,7 +17,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 CASES = [
     "", " ", "\n", "a", "  a", "a  b", "a \n b", "\n\n\na b\n", "it's we'LL they'd 've", "x\x1cy \x1f z\x00\x00 q", "\x85\xa0  end　　x", "<|endoftext|>", "a<|endoftext|> <|endoftext|>b <|endof",
-    "éèê ñandú ÄÖÜß 12345 ٣٤ ²½ Ⅷ", "日本語 テキスト 😀😀 👩‍👩‍👧", "a" * 3000, "ab" * 700 + "###" * 50, "tab\tsep\r\nline", "The quick brown fox. " * 30, "\0", " \0a", "a \0 b",
+    "éèê ñandú ÄÖÜß 12345 ٣٤ ²½ Ⅷ", "日本語 テキスト 😀😀 👩‍👩‍👧", "a" * 3000, "ab" * 700 + "###" * 50, "tab\tsep\r\nline", "The quick brown fox. " * 30, "\0", " \0a", "a \0 b", "\U0003d000's", "\u0558's \ua7ce1", "\U00012550 2\U00011de0",
 ]
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 from itertools import chain
+from unicodedata import category
 
 import ahocorasick
 import numpy as np
@@ -33,6 +34,21 @@ CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 UNEVEN = re.compile(r"[\x00\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 #: The published splitting pattern of this tokenizer family, with its white space spelled out.
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+
+
+def split(text: str) -> list[str]:
+    """The pieces of a chunk.
+
+    Libraries know different versions of Unicode. They agree on what this Python knows; a chunk with a code point that it does not know is split by the tokenizers
+    library itself.
+    """
+    if text.isascii() or "Cn" not in map(category, text):
+        return PIECES.findall(text)
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
+
+
 #: Entries of each memo; a full one is emptied. Longer keys are not kept.
 MEMO, MEMO_KEY = 300_000, 48
 
@@ -128,7 +144,7 @@ class Bpe:
     def chunk(self, text: str) -> bytes:
         """The ids of one chunk as little-endian unsigned 32-bit integers."""
         out = []
-        for piece in PIECES.findall(text):
+        for piece in split(text):
             ids = self.piece_memo.get(piece)
             if ids is None:
                 b = piece.encode()
@@ -190,6 +206,8 @@ class FastBpe(Bpe):
         self.library = tiktoken.Encoding("own", pat_str=PIECES.pattern, mergeable_ranks=self.id_of, special_tokens={})
 
     def chunk(self, text: str) -> bytes:
+        if not text.isascii() and "Cn" in map(category, text):
+            return super().chunk(text)
         return np.array(self.library.encode_ordinary(text), dtype="<u4").tobytes()
 
 
