@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from veritrail.operators import graph
@@ -19,6 +20,18 @@ def test_paths_and_reachability(spark):
     assert graph.paths(p.limit(0)).count() == 0
 
 
+def test_long_chains_are_walked_to_their_end(spark):
+    chain = [f"n{i:02}" for i in range(13)]
+    p = pairs(spark, [(a, b, 1.0) for a, b in zip(chain, chain[1:], strict=False)])
+    assert [(list(r.path), r.hops) for r in graph.paths(p).collect()] == [(chain, 12)]
+    assert graph.paths(p, 12).count() == 1
+    assert {r.node: r.reached for r in graph.reachability(p).collect()} == {n: 12 - i for i, n in enumerate(chain[:-1])}
+    with pytest.raises(RuntimeError):
+        graph.paths(p, 11)
+    with pytest.raises(RuntimeError):
+        graph.reachability(p, 5)
+
+
 def test_components_do_not_depend_on_order(spark):
     links = [(f"n{i}", f"n{i + 1}") for i in range(40) if i % 7] + [("hub", f"s{i}") for i in range(30)]
     want = None

@@ -1,7 +1,7 @@
 """Evidence graphs: edges(subject_id, assertion, object_id, confidence, evidentiary_posture, source_sha256, source_date, host).
 
 Edges are a multigraph: rows are never merged except by analysis. Iterations are joins on node ids, cut by
-checkpoints; paths are bounded by max_hops, pairs by equi-joins on derived keys.
+checkpoints, and go on until nothing is left to do; pairs are bounded by equi-joins on derived keys.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ CONTROL = ("BENEFICIAL_OWNER", "PARENT", "UNKNOWN_CONTROL_ROLE")
 CLAIMS = ("BENEFICIAL_OWNER", "UNKNOWN_CONTROL_ROLE")
 ASSERTIONS = (*CONTROL, "OFFICER_OR_DIRECTOR", "AFFILIATE", "SHARED_ADDRESS", "ALIAS")
 EVIDENCE_CLASSES = ("DIRECT", "INFERRED", "REPORTED")
+#: Rounds after which an iteration that is sure to end raises an error.
+SAFETY = 10_000
 
 
 def edge_weight(posture: Column, confidence: Column) -> Column:
@@ -36,32 +38,33 @@ def collapse_pairs(edges: DataFrame) -> DataFrame:
     return edges.groupBy("subject_id", "object_id").agg(F.max("weight").alias("weight"), F.count_distinct("source_sha256").alias("docs"), F.count(F.lit(1)).alias("evidence"))
 
 
-def paths(pairs: DataFrame, max_hops: int = 8) -> DataFrame:
-    """Maximal node-simple paths of two hops or more from roots (subjects that are no objects): path, hops, weight."""
-    step = pairs.select(F.col("subject_id").alias("s"), F.col("object_id").alias("t"), F.col("weight").alias("w"))
+def paths(pairs: DataFrame, max_hops: int = SAFETY) -> DataFrame:
+    """All maximal node-simple paths of two hops or more from roots (subjects that are no objects): path, hops, weight.
+
+    The walk ends when no path can grow. max_hops cuts nothing: a path that would grow beyond it is an error.
+    """
+    step = cut(pairs.select(F.col("subject_id").alias("s"), F.col("object_id").alias("t"), F.col("weight").alias("w")))
     roots = step.select("s").distinct().join(step.select(F.col("t").alias("s")).distinct(), "s", "left_anti")
     frontier = roots.join(step, "s").where("s <> t").select(F.array("s", "t").alias("path"), F.col("w").alias("weight"), F.col("t").alias("end"))
-    done = None
-    for hop in range(2, max_hops + 2):
-        frontier = cut(frontier)
-        grown = frontier.join(step, (F.col("end") == F.col("s")) & ~F.array_contains("path", F.col("t")))
-        if hop > 2:
-            stuck = frontier.join(step, (F.col("end") == F.col("s")) & ~F.array_contains("path", F.col("t")), "left_anti")
-            part = stuck.select("path", (F.size("path") - 1).alias("hops"), "weight")
-            done = part if done is None else done.unionByName(part)
-        frontier = grown.select(F.concat("path", F.array("t")).alias("path"), (F.col("weight") * F.col("w")).alias("weight"), F.col("t").alias("end"))
-        if hop == max_hops + 1 or frontier.isEmpty():
-            break
-    empty = frontier.select("path", (F.size("path") - 1).alias("hops"), "weight").limit(0)
-    return empty if done is None else done
-
-
-def reachability(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
+    done = frontier.select("path", (F.size("path") - 1).alias("hops"), "weight").limit(0)
+    hops = 1
+    while not frontier.isEmpty():
+        met = cut(frontier.join(step, (F.col("end") == F.col("s")) & ~F.array_contains("path", F.col("t")), "left"))
+        if hops > 1:
+            done = done.unionByName(met.where("t is null").select("path", (F.size("path") - 1).alias("hops"), "weight"))
+        frontier = met.where("t is not null").select(F.concat("path", F.array("t")).alias("path"), (F.col("weight") * F.col("w")).alias("weight"), F.col("t").alias("end"))
+        hops += 1
+        if hops > max_hops and not frontier.isEmpty():
+            raise RuntimeError(f"paths have more than {max_hops} hops")
+    return done
+
+
+def reachability(pairs: DataFrame, max_rounds: int = SAFETY) -> DataFrame:
     """(node, reached): nodes that can be reached from each subject; one on a cycle reaches itself.
 
-    Semi-naive closure: each round joins only what the last one found.
+    Semi-naive closure: each round joins only what the last one found, until nothing is new. If max_rounds do not suffice, that is an error.
     """
-    step = pairs.select(F.col("subject_id").alias("s"), F.col("object_id").alias("t")).distinct()
+    step = cut(pairs.select(F.col("subject_id").alias("s"), F.col("object_id").alias("t")).distinct())
     known = cut(step.select(F.col("s").alias("a"), F.col("t").alias("b")))
     fresh = known
     for _ in range(max_rounds):
@@ -70,6 +73,8 @@ def reachability(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
         if fresh.isEmpty():
             break
         known = cut(known.unionByName(fresh))
+    else:
+        raise RuntimeError(f"the closure did not settle in {max_rounds} rounds")
     return known.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("reached"))
 
 
