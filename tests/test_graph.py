@@ -1,10 +1,12 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from veritrail.operators import graph
 from veritrail.operators.components import connected_components
+from veritrail.plans import graph_queries
 
 
 def pairs(spark, rows):
@@ -42,6 +44,24 @@ def test_components_do_not_depend_on_order(spark):
         want = got
 
 
+def test_components_and_paths_over_all_edges(spark):
+    sf = "/root/testdata/sf0.001"
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for r in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_suppkey", "l_partkey").collect():
+        a, b = find(f"s{r.l_suppkey}"), find(f"p{r.l_partkey % 500}")
+        root[max(a, b)] = min(a, b)
+    assert {r.component: r.n for r in graph_queries.component_sizes_all(spark, sf).collect()} == Counter(map(find, list(root)))
+    keys = [r.s_suppkey for r in spark.read.parquet(f"{sf}/supplier.parquet").collect()]
+    step = {(r.subject_id, r.object_id) for r in graph_queries.hierarchy(spark, sf, 1).collect()}
+    assert {(f"s{k}", f"s{k // 2}") for k in keys} <= step
+
+
 def edge(i, s="a", a="BENEFICIAL_OWNER", o="b", posture="SELF_REPORTED", cls="DIRECT", pct=10.0, conf=0.9, date="2020-01-01", doc="d1"):
     return (i, s, a, o, posture, cls, pct, conf, date, doc, "h")
 

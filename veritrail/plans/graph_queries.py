@@ -62,12 +62,12 @@ def referential_integrity(spark, sf_dir):
     return lost.groupBy("object_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def hierarchy(spark, sf_dir) -> DataFrame:
-    """Region to nation to supplier, and some suppliers to others, as weighted pairs."""
+def hierarchy(spark, sf_dir, every: int = 5) -> DataFrame:
+    """Region to nation to supplier, and suppliers (those whose key every divides) to others, as weighted pairs."""
     n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
     a = n.select(F.concat(F.lit("r"), F.col("n_regionkey")).alias("subject_id"), F.concat(F.lit("n"), F.col("n_nationkey")).alias("object_id"), F.lit(0.5).alias("weight"))
     b = s.select(F.concat(F.lit("n"), F.col("s_nationkey")).alias("subject_id"), F.concat(F.lit("s"), F.col("s_suppkey")).alias("object_id"), F.lit(0.25).alias("weight"))
-    c = s.where("s_suppkey % 5 = 0").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("subject_id"), F.concat(F.lit("s"), F.floor(F.col("s_suppkey") / 2)).alias("object_id"), F.lit(0.5).alias("weight"))
+    c = s.where(F.col("s_suppkey") % every == 0).select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("subject_id"), F.concat(F.lit("s"), F.floor(F.col("s_suppkey") / 2)).alias("object_id"), F.lit(0.5).alias("weight"))
     return a.unionByName(b).unionByName(c)
 
 
@@ -83,8 +83,25 @@ def reachability(spark, sf_dir):
     return graph.reachability(hierarchy(spark, sf_dir))
 
 
+def multi_hop_paths_all(spark, sf_dir):
+    """multi_hop_paths with the links of every supplier."""
+    p = graph.paths(hierarchy(spark, sf_dir, 1))
+    return p.select(F.array_join("path", ">").alias("path"), F.col("hops").cast("int").alias("hops"), "weight")
+
+
+def reachability_all(spark, sf_dir):
+    """reachability with the links of every supplier."""
+    return graph.reachability(hierarchy(spark, sf_dir, 1))
+
+
+def component_sizes_all(spark, sf_dir):
+    """Components of suppliers and parts over all edges, by the least node. No SQL: the recursive twin is too slow for all links."""
+    links = edges(spark, sf_dir).select(F.col("subject_id").alias("a"), F.col("object_id").alias("b"))
+    return connected_components(links).groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+
+
 def component_sizes(spark, sf_dir):
-    """Components of suppliers and parts over orders of quantity 50, by the least node."""
+    """Components over the first two lines of quantity 50 of each order, by the least node: the part of component_sizes_all that SQL can check."""
     links = edges(spark, sf_dir).where("ownership_percent = 125 and line <= 2").select(F.col("subject_id").alias("a"), F.col("object_id").alias("b"))
     return connected_components(links).groupBy("component").agg(F.count(F.lit(1)).alias("n"))
 
@@ -147,7 +164,7 @@ def dup_of_prior_flag(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        pair_collapse_best, controller_centrality, relationship_persistence, competing_claims, degree_count, constraint_violations, referential_integrity, multi_hop_paths, reachability, component_sizes, name_normalise,
+        pair_collapse_best, controller_centrality, relationship_persistence, competing_claims, degree_count, constraint_violations, referential_integrity, multi_hop_paths, multi_hop_paths_all, reachability, reachability_all, component_sizes, component_sizes_all, name_normalise,
         spelling_vote, prefix_containment, suffix_stem_pairs, acronym_initials, dictionary_match_cardinality, checkpoint_diff, dup_of_prior_flag,
     )
 }
@@ -172,3 +189,4 @@ ORACLES = {
     "checkpoint_diff": f"WITH {EDGES_SQL}, o AS (SELECT subject_id || '|' || assertion || '|' || object_id AS r, list(DISTINCT host) AS f, count(DISTINCT doc) AS d FROM e WHERE row_id % 10 < 8 GROUP BY 1), w AS (SELECT subject_id || '|' || assertion || '|' || object_id AS r, list(DISTINCT host) AS f, count(DISTINCT doc) AS d FROM e WHERE row_id % 10 > 0 GROUP BY 1) SELECT CASE WHEN o.r IS NULL THEN 'ADDED' WHEN w.r IS NULL THEN 'DROPPED' WHEN len(list_filter(w.f, lambda x: NOT list_contains(o.f, x))) > 0 THEN 'GAINED_FAMILY' WHEN w.d > o.d THEN 'MORE_DOCS' ELSE 'SAME' END AS change, count(*) AS n FROM o FULL OUTER JOIN w ON o.r = w.r GROUP BY 1",
     "dup_of_prior_flag": f"WITH {EDGES_SQL} SELECT r > 1 AS is_duplicate, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY subject_id, assertion, object_id) AS r FROM e) x GROUP BY 1",
 }
+ORACLES |= {f"{name}_all": ORACLES[name].replace(" WHERE s_suppkey % 5 = 0", "") for name in ("multi_hop_paths", "reachability")}
