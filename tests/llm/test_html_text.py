@@ -20,6 +20,11 @@ CASES = [
     ("<input type=hidden value=n><input type=submit value=Go>", "Go"), ("<p>unclosed <b>bold <i>it</p>after", "unclosed bold it\n\nafter"),
     ('<p title="a > b">x</p>', "x"), ("<p title=\"never closed>x</p>", "x"), ("</p>a", "a"), ("<textarea> t&amp;<b> </textarea>", " t&<b>"), ("<td>lone</td>", "lone"),
     ("<ul><li><p>a</p><p>b</p></ul>", "- a\n\n  b"), ("İ<script>x</script>y", "İy"),
+    ("<html><head><title>T</title><h1>A</h1><p>text", "A\n\ntext"), ("<head>\n<meta charset=x><script>n</script>\nwords<title>n</title> go on", "words go on"), ("<head><template><p>n</template>&#32;<link><div>y", "y"), ("<head><title>T</title></br>y", "\ny"),
+    ("<table><colgroup><col><col><tr><td>x<td>y</table>z", "x  y\n\nz"), ("<table><colgroup span=2><thead><tr><th>a<tbody><tr><td>b</table>", "a\nb"), ("<table><colgroup><col></colgroup><tr><td>x</table>", "x"),
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"), ("<math><semantics><mi>x</mi><annotation>n</annotation></semantics></math>", "x"), ("<map name=m><area href=x>l <a href=y>k</a></map>", "l k"),
+    ("a<svg><title>n</title><defs><text>n</text></defs><style>n</style><g>n<text x=1>one</text><path/><text>t<tspan>wo</tspan></text></g></svg>b", "a one two b"), ("<svg><defs/><title/><text>y</text></svg>z", "y z"),
+    ("<svg><foreignObject><p>f</p></foreignObject></svg>", "f"), ("<svg><path d=x><p>out", "out"), ("<p>a<svg style='display:none'><text>n</text></svg>b", "ab"), ("<a href=x><svg><a><text>in</text></a></svg>out</a>", "in out"),
 ]
 
 

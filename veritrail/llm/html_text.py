@@ -36,7 +36,7 @@ def _names(text: str) -> frozenset[str]:
 # Classes of HTML elements.
 VOID = _names("area base br col embed hr img input link meta param source track wbr")
 RAW = _names("script style textarea title xmp iframe noembed noframes noscript")
-NEVER_SHOWN = _names("head script style template title noscript noembed noframes iframe object video audio canvas datalist svg math map meta link base param source track colgroup col area")
+NEVER_SHOWN = _names("head script style template title noscript noembed noframes iframe object video audio canvas datalist annotation annotation-xml mphantom meta link base param source track colgroup col area")
 BLOCK = _names("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul caption search xmp")
 SPACED = _names("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl table pre figure hr xmp")
 LISTS = _names("ul ol menu dir")
@@ -49,6 +49,16 @@ CLOSES = {
     "tbody": (_names("tbody thead tfoot tr td th caption"), _names("table")), "thead": (_names("tbody thead tfoot tr td th caption"), _names("table")), "tfoot": (_names("tbody thead tfoot tr td th caption"), _names("table")),
     "body": (_names("head"), _names("body")), "a": (_names("a"), _names("table td th")),
 }
+#: Elements that end at any start tag but these, and at text that is not blank.
+HOLDS_ONLY = {"head": _names("base link meta noframes noscript script style template title"), "colgroup": _names("col template")}
+#: In svg and math other rules hold: a tag may close itself, no end is implied. HTML goes on inside of INTEGRATION, and ends them where a tag of BREAKOUT opens.
+FOREIGN = _names("svg math")
+INTEGRATION = _names("foreignobject desc title annotation-xml mi mo mn ms mtext")
+BREAKOUT = _names(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var"
+)
+SVG_TEXT = _names("text foreignobject")
+SVG_UNSHOWN = _names("clippath defs desc filter lineargradient marker mask metadata pattern radialgradient symbol")
 #: End tags do not reach beyond these.
 SCOPE = {"p": _names("table td th caption button"), "li": _names("ul ol menu dir table")}
 TABLE_SCOPE = _names("table")
@@ -76,10 +86,11 @@ class Builder:
 
     def __init__(self):
         self.root = Element("#root")
-        self.open, self.counts = [self.root], {}
+        self.open, self.counts, self.foreign = [self.root], {}, [False]
 
     def _pop(self) -> Element:
         e = self.open.pop()
+        self.foreign.pop()
         self.counts[e.name] -= 1
         return e
 
@@ -98,19 +109,31 @@ class Builder:
                 self._pop()
 
     def start(self, name: str, attributes: str, closed: bool) -> Element:
-        if name in CLOSES_P and self.counts.get("p"):
+        self.leave(name)
+        if name in BREAKOUT:
+            while self.foreign[-1]:
+                self._pop()
+        foreign = self.foreign[-1]
+        if name in CLOSES_P and not foreign and self.counts.get("p"):
             self.close(_names("p"), SCOPE["p"])
-        if name in CLOSES:
+        if name in CLOSES and not foreign:
             self.close(*CLOSES[name])
         e = Element(name, attributes)
         self.open[-1].children.append(e)
-        if name not in VOID and not (closed and name in ("svg", "math")):
+        if name not in VOID and not (closed and (foreign or name in FOREIGN)):
             self.open.append(e)
+            self.foreign.append(name in FOREIGN or (foreign and name not in INTEGRATION))
             self.counts[name] = self.counts.get(name, 0) + 1
         return e
 
+    def leave(self, name: str) -> None:
+        """End what may not hold an element of this name."""
+        while (holds := HOLDS_ONLY.get(self.open[-1].name)) is not None and name not in holds and not self.foreign[-1]:
+            self._pop()
+
     def end(self, name: str) -> None:
         if name == "br":
+            self.leave(name)
             self.open[-1].children.append(Element("br"))
         elif name == "p" and not self.counts.get("p"):
             self.open[-1].children.append(Element("p"))
@@ -126,7 +149,10 @@ class Builder:
 
     def text(self, s: str) -> None:
         if s:
-            self.open[-1].children.append(html.unescape(s) if "&" in s else s)
+            s = html.unescape(s) if "&" in s else s
+            if self.open[-1].name in HOLDS_ONLY and s.strip(" \t\n\r\f"):
+                self.leave("#text")
+            self.open[-1].children.append(s)
 
 
 def parse(page: str) -> Element:
@@ -152,7 +178,7 @@ def parse(page: str) -> Element:
             tree.end(name)
             continue
         e = tree.start(name, m[3].strip(), m[3].endswith("/"))
-        if name in RAW:
+        if name in RAW and tree.open[-1] is e:
             low = page.lower() if low is None else low
             # lower() may change the length of a text outside ASCII: then search by pattern
             if len(low) == size:
@@ -243,6 +269,21 @@ def visibility(e: Element, inherited: bool) -> bool:
     return inherited
 
 
+def svg_texts(svg: Element, shown: bool) -> list[tuple[Element, bool]]:
+    """The elements of a drawing that show text, in order, and whether they are visible."""
+    found, todo = [], [(c, shown) for c in reversed(svg.children)]
+    while todo:
+        e, seen = todo.pop()
+        if isinstance(e, str) or e.name in SVG_UNSHOWN or hidden(e):
+            continue
+        seen = visibility(e, seen)
+        if e.name in SVG_TEXT:
+            found.append((e, seen))
+        else:
+            todo.extend((c, seen) for c in reversed(e.children))
+    return found
+
+
 def number(value: str | None, default: int, most: int) -> int:
     return max(1, min(most, int(value))) if value and value.strip().isascii() and value.strip().isdigit() else default
 
@@ -289,6 +330,12 @@ def render(root: Element, depth: int = 0, shown: bool = True) -> list[str]:
             out.put(table_lines(node, depth + 1, seen))
             out.gap = 1
             continue
+        if name == "svg":
+            out.space = True
+            for e, e_seen in reversed(svg_texts(node, seen)):
+                todo.append(("leave", lambda: setattr(out, "space", True)))
+                todo.append(("nodes", e.children, pre, e_seen, None))
+            continue
         if name in ("pre", "textarea", "xmp"):
             _preformatted(out, node, todo, seen)
             continue
