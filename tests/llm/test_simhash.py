@@ -108,3 +108,12 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert ids.count(None) == 1
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup(empty).count() == 0 and simhash_components(empty).count() == 0
+
+
+def test_near_dedup_keeps_each_group_of_a_repeated_id(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(60)) for _ in range(12)]
+    rows = [(1, t) for t in texts] + [(0, texts[0]), (1, texts[5]), (1, texts[5]), (None, texts[7]), (None, "no id"), (None, "no id")]
+    for order in (rows, rows[::-1]):
+        kept = near_dedup(spark.createDataFrame(order, "doc_id long, text string")).collect()
+        assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("0", texts[0]), *(("1", t) for t in texts[1:]), ("None", "no id")])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritrail.llm.common import cut, small_batches, text_of
+from veritrail.llm.common import cut, row_key, small_batches, text_of
 from veritrail.operators.components import connected_components
 
 SEED = 42
@@ -104,18 +104,17 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group: the one with the least id; all columns stay.
 
-    Where an id is repeated within the kept ones, one row of it stays. Rows without an id stand for their group only if no row of it has one.
+    Ids may repeat, in different groups too: each group has its own row, found by a key of id and text. Of a group's rows with the least id, the one with the least
+    key stays; rows of the same id and text count as one. Rows without an id stand for their group only if no row of it has one.
     """
-    groups = cut(simhash_components(docs, id_col, text_col).withColumnRenamed(id_col, "id"))
-    named = groups.where("id = component_id").select("id").distinct()
-    kept = docs.join(named, docs[id_col] == named["id"], "left_semi")
-    counts = docs.agg(F.count(F.col(id_col)).alias("n"), F.count_distinct(F.col(id_col)).alias("d"), F.count(F.when(F.col(id_col).isNull(), 1)).alias("nulls")).first()
-    if counts["n"] != counts["d"]:
-        kept = kept.dropDuplicates([id_col])
-    if counts["nulls"]:
-        alone = groups.where("component_id is null").select("fingerprint")
-        small_batches(docs.sparkSession)
-        unnamed = docs.where(F.col(id_col).isNull()).withColumn("_fingerprint_of_row", F.lower(F.lpad(F.hex(fingerprint_udf()(text_of(text_col))), 16, "0")))
-        unnamed = unnamed.join(alone.select(F.col("fingerprint").alias("_fingerprint_of_row")).distinct(), "_fingerprint_of_row", "left_semi").dropDuplicates(["_fingerprint_of_row"])
-        kept = kept.unionByName(unnamed.select(*docs.columns))
-    return kept
+    small_batches(docs.sparkSession)
+    k1, k2 = row_key(F.col(id_col), F.col(text_col))
+    prints = cut(docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), fingerprint_udf()(text_of(text_col)).alias("fp")))
+    per_print = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("id").alias("unnamed"), "id", "k1", "k2")).alias("first"))
+    members = connected_components(near_links(per_print.select("fp")))
+    labelled = per_print.join(members.withColumnRenamed("node", "fp"), "fp", "left")
+    firsts = cut(labelled.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first")).select(F.col("first.k1").alias("_key1"), F.col("first.k2").alias("_key2")))
+    kept = docs.withColumns({"_key1": k1, "_key2": k2}).join(firsts, ["_key1", "_key2"], "left_semi")
+    if prints.join(firsts, (prints["k1"] == firsts["_key1"]) & (prints["k2"] == firsts["_key2"]), "left_semi").count() > firsts.count():
+        kept = kept.dropDuplicates(["_key1", "_key2"])
+    return kept.drop("_key1", "_key2")
