@@ -64,6 +64,43 @@ def test_boilerplate_and_near_copies(spark):
         assert {r.id: r.group for r in corpus.near_duplicates(texts(spark, order)).collect()} == {1: 1, 2: 1, 3: 1}
 
 
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "MAX_BUCKET", 2)
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(3000)]
+    base, rows = [rng.choice(words) for _ in range(600)], []
+    for i in range(260):
+        if i % 40 == 0:  # the family drifts, so that no one text is like all others
+            for _ in range(6):
+                base[rng.randrange(600)] = rng.choice(words)
+        text = list(base)
+        text[rng.randrange(600)] = f"own{i}"
+        rows.append((i, "a", " ".join(text)))
+    t = texts(spark, rows)
+    made = {r.id: frozenset(r.sketch) for r in corpus.sketches(t).collect()}
+    bands = {r.id: {(k, tuple(r.sketch[4 * k : 4 * k + 4])) for k in range(16)} for r in corpus.sketches(t).collect()}
+    root = {i: i for i in made}
+    for a in made:
+        for b in made:
+            if a < b and bands[a] & bands[b] and len(made[a] & made[b]) >= 0.85 * len(made[a] | made[b]):
+                x, y = a, b
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                root[max(x, y)] = min(x, y)
+    want = {}
+    for i in made:
+        x = i
+        while root[x] != x:
+            x = root[x]
+        want[i] = x
+    sizes = [list(want.values()).count(g) for g in want.values()]
+    linked = {i: g for (i, g), n in zip(want.items(), sizes, strict=True) if n > 1}
+    assert len(linked) > 200
+    assert {r.id: r.group for r in corpus.near_duplicates(t).collect()} == linked
+
+
 def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text('{"url": "a", "n": 1}\n{broken\n{"url": "b", "n": null}\n')
     path = str(tmp_path / "log.jsonl")

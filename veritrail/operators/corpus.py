@@ -17,6 +17,8 @@ from veritrail.operators.components import connected_components
 from veritrail.session import cut, once, ship_package
 
 SKETCH, BANDS, ROWS, MIN_JACCARD, MAX_BUCKET = 64, 16, 4, 0.85, 200
+#: Of a crowded bucket: sketches that all others are compared with; parts of a sketch, more than two sketches of MIN_JACCARD can differ in.
+PIVOTS, PARTS = 8, 11
 MAX_SPANS = 40
 
 
@@ -52,20 +54,36 @@ def sketches(texts: DataFrame) -> DataFrame:
 def near_duplicates(texts: DataFrame) -> DataFrame:
     """(id, group): texts linked by sketches of Jaccard 0.85 or more that share a band; group is the least id.
 
-    Equal sketches are linked to their least id first, so a large group of copies enters the bands once. Bands that
-    more than 200 different sketches share give no pairs: that limit is the operator's definition.
+    Equal sketches are linked to their least id first, so a large group of copies enters the bands once. A band's bucket of MAX_BUCKET
+    different sketches or fewer gives all its pairs. In a crowded one all are compared with a few pivots, which joins most of a family in
+    linear time; what then still is in different groups is compared where a part of both sketches is equal. That loses nothing: 64 hashes
+    of Jaccard 0.85 differ in five on either side, so of 11 parts (by hash modulo 11) one is equal.
     """
     made = cut(sketches(texts))
     firsts = made.groupBy("sketch").agg(F.min("id").alias("first"))
     same = made.join(firsts, "sketch").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     parts = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("sketch", i * ROWS + 1, F.lit(ROWS))))
     banded = firsts.select(F.col("first").alias("id"), "sketch", F.posexplode(parts).alias("band", "value"))
-    sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where(f"n between 2 and {MAX_BUCKET}")
-    met = banded.join(sizes.select("band", "value"), ["band", "value"])
+    sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    alike = F.size(F.array_intersect("sketch", "other")) / F.size(F.array_union("sketch", "other")) >= MIN_JACCARD
+    met = banded.join(sizes.where(F.col("n") <= MAX_BUCKET).select("band", "value"), ["band", "value"])
     other = met.select(F.col("id").alias("b"), F.col("sketch").alias("other"), "band", "value")
-    alike = F.size(F.array_intersect("sketch", "other")) / F.size(F.array_union("sketch", "other"))
-    pairs = met.withColumnRenamed("id", "a").join(other, ["band", "value"]).where("a < b").where(alike >= MIN_JACCARD).select("a", "b").distinct()
-    return connected_components(same.unionByName(pairs)).select(F.col("node").alias("id"), F.col("component").alias("group"))
+    pairs = met.withColumnRenamed("id", "a").join(other, ["band", "value"]).where("a < b").where(alike).select("a", "b").distinct()
+    links = cut(same.unionByName(pairs))
+    crowded = cut(banded.join(sizes.where(F.col("n") > MAX_BUCKET).select("band", "value"), ["band", "value"]))
+    if not crowded.isEmpty():
+        least = crowded.groupBy("band", "value").agg(*(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "sketch")).alias(f"p{k}") for k in range(PIVOTS)))
+        pivots = least.select("band", "value", F.explode(F.array_distinct(F.array(*(F.struct(f"p{k}.id", f"p{k}.sketch") for k in range(PIVOTS))))).alias("p")).select("band", "value", F.col("p.id").alias("b"), F.col("p.sketch").alias("other"))
+        stars = crowded.join(pivots, ["band", "value"]).where("id <> b").where(alike).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+        links = cut(links.unionByName(stars))
+        known = crowded.join(connected_components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        open_ = known.groupBy("band", "value").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("band", "value")
+        keys = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.xxhash64(i, F.filter("sketch", lambda h: F.pmod(h, F.lit(PARTS)) == i)))
+        left = cut(known.join(open_, ["band", "value"]).select("id", "component", "sketch", "band", "value", F.explode(keys).alias("key")))
+        right = left.select(F.col("id").alias("b"), F.col("component").alias("_component"), F.col("sketch").alias("other"), "band", "value", "key")
+        rest = left.withColumnRenamed("id", "a").join(right, ["band", "value", "key"]).where("component < _component").where(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = links.unionByName(rest)
+    return connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("group"))
 
 
 def line_offsets(texts: DataFrame) -> DataFrame:
