@@ -60,3 +60,11 @@ def test_label_model_finds_the_accurate_voters():
 def test_cover_reaches_each_document_several_times():
     hits = [["a", "b", "rare1", "rare2"], ["a", "b", "rare1", "rare2"], ["a", "b"], ["c"], ["c"], ["d"]]
     assert tx.cover(hits, np.array([True] * 5 + [False]), times=2) == ["b", "a", "c"]
+
+
+def test_address_is_looked_for_at_every_whole_word():
+    def address(text):
+        return tx.features(text, {})[1][2]
+
+    assert address("an idiot came by. " + "more words " * 20 + "and you are an idiot") and address("idiotic " * 20 + "you idiot")
+    assert not address("you idiotic man, " + "more words " * 20 + "an idiot") and not address("an idiot came by, you see")

@@ -43,6 +43,8 @@ INSULTS = frozenset(
     dégueulasse dummkopf arschloch abschaum trottel widerlich erbärmlich wertlos idiota imbécil estúpido estúpida basura asqueroso patético gilipollas""".split()
 )
 ADDRESS = re.compile(r"\b(?:you|you're|your|ur|du|ihr|sie|tu|vous|eres|usted)\W+(?:\w+\W+){0,3}$")
+#: What every match of ADDRESS holds.
+ADDRESSED = re.compile(r"\b(?:you|your|ur|du|ihr|sie|tu|vous|eres|usted)\b")
 VOTER_PARTS = 5
 PATTERN_VOTERS = ("general", "dense", "address", "emphasis")
 
@@ -83,9 +85,9 @@ def features(text: str, lexicon) -> tuple[list[str], list[bool]]:
     address = emphasis = False
     low = text.lower()
     for w in known:
-        at = low.find(w)
-        address = address or bool(ADDRESS.search(low[max(0, at - 60) : at]))
         emphasis = emphasis or w.upper() in text or f"{w}!" in low
+    if ADDRESSED.search(low):
+        address = any(m[0] in known and ADDRESS.search(low[max(0, m.start() - 60) : m.start()]) for m in WORDS.finditer(low))
     return sorted(hits), [bool(distinct & INSULTS), count * 200 >= len(words), address, emphasis]
 
 
