@@ -4,6 +4,7 @@ import pytest
 
 from veritrail.functions import lexicon
 from veritrail.operators import corpus, evidence
+from veritrail.plans import corpus_queries
 from veritrail.sources import readers, sinks
 from veritrail.streaming import incremental
 
@@ -101,6 +102,12 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch):
     assert {r.id: r.group for r in corpus.near_duplicates(t).collect()} == linked
 
 
+def test_repeated_lines_of_a_host_give_no_class(spark, tmp_path):
+    rows = [(i, "wire transfer instructions of this site\n" + ("a wire transfer" if i == 3 else f"other text {i}"), "a") for i in range(25)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["class"]: r.n for r in corpus_queries.document_classes(spark, str(tmp_path)).collect()} == {"WIRE_TRANSFER": 1, "UNCLASSIFIED": 24}
+
+
 def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text('{"url": "a", "n": 1}\n{broken\n{"url": "b", "n": null}\n')
     path = str(tmp_path / "log.jsonl")

@@ -110,8 +110,10 @@ def seeded_sample(spark, sf_dir):
 
 
 def document_classes(spark, sf_dir):
-    """Lexicon classes of every document."""
-    return corpus.classes(texts(spark, sf_dir)).select(F.explode("classes").alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    """Lexicon classes of every document, without the lines its host repeats."""
+    t = texts(spark, sf_dir)
+    searchable = corpus.suppressed(t, corpus.boilerplate(t)).select("id", F.col("searchable").alias("text"))
+    return corpus.classes(searchable).select(F.explode("classes").alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
 
 
 def candidate_spans(spark, sf_dir):
