@@ -36,6 +36,30 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str, text_col: str, train_only: bool = False) -> DataFrame:
+    """(label, text) of labelled texts, each distinct text once with its greatest label: most ids and most rows at most, however often ids or rows repeat.
+
+    Of the ids with a label those with the least hash are taken, of their distinct texts those with the least hash; no more than hashes are ordered.
+    train_only leaves out ids whose crc32 is divisible by five.
+    """
+    chosen = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+    if train_only:
+        chosen = chosen.where(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0)
+    chosen = chosen.groupBy(F.col(id_col).alias("id")).agg(F.max(label).alias("label")).orderBy(F.xxhash64("id"), "id").limit(most)
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = cut(rows.groupBy(F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"), F.max("label").alias("label")))
+    last = rows.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    return rows.where(F.col("h") <= (0 if last is None else last)).select("label", "text")
+
+
+def repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as the column times says, without that column. No array of numbers is longer than 2^16."""
+    part = 1 << 16
+    blocks = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / part))))
+    size = F.least(F.lit(part), F.col(times) - F.col("_block") * part)
+    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop("_block", "_copy", times)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Make ready for Python workers: the package is shipped, and the rows of an Arrow batch are bounded (kept if the session already asks for less)."""
     ship_package(spark)
