@@ -34,8 +34,10 @@ from veritrail.llm.common import bounded_sample, cut, small_batches, text_of
 #: Labelled training documents used at most, those with the least hash of the id.
 SAMPLE = 20_000
 CANDIDATES, LEXICON, COVER = 3_000, 400, 4
-MIN_PRECISION = 0.8
+MIN_PRECISION = 0.85
 PREFIXES = (3, 4, 5, 6, 7)
+#: The weight of the labelled sample in the label model, as a multiple of that of all other training documents.
+WITNESSED = 4.0
 #: Lexicons made from entries that occur together.
 GROUPS = 4
 WORDS = re.compile(r"[^\W\d_]+")
@@ -235,8 +237,8 @@ def label_model(votes: np.ndarray, counts: np.ndarray, labelled: np.ndarray, lab
     m = votes.shape[1]
     both = np.vstack([votes, labelled])
     fired = both.sum(axis=1) > 0
-    # the labelled sample weighs as much as all other rows, whatever their number
-    scale = label_counts.sum() / max(counts.sum(), 1.0) if label_counts.sum() else 1.0
+    # the labelled sample weighs WITNESSED times as much as all other rows, whatever their number
+    scale = label_counts.sum() / max(counts.sum(), 1.0) / WITNESSED if label_counts.sum() else 1.0
     weight = np.concatenate([counts * scale, label_counts])
     model = LabelModel(0.1, np.vstack([np.full(m, 0.01), np.full(m, 0.4)]), np.array([0.05, 0.95]), np.ones(m))
     right = np.array([0.95, 0.95])  # how often the label of other and of toxic texts is right
@@ -255,10 +257,12 @@ def label_model(votes: np.ndarray, counts: np.ndarray, labelled: np.ndarray, lab
         any_fires = np.clip((mass @ fired + [0.1, 1.0]) / (total + [10.0, 1.1]), 1e-4, 1 - 1e-4)
         if len(labelled):
             own = mass[:, len(votes) :]
-            right = np.clip([(own[0] @ ~labels + 9.5) / (own[0].sum() + 10), (own[1] @ labels + 9.5) / (own[1].sum() + 10)], 0.5, 0.999)
-        centred = both - fire[1]
-        spread = np.sqrt(np.maximum(mass[1] @ centred**2, 1e-9))
-        phi = np.maximum((centred * mass[1][:, None]).T @ centred / np.outer(spread, spread), 0)
+            right = np.clip([(own[0] @ ~labels + 95) / (own[0].sum() + 100), (own[1] @ labels + 95) / (own[1].sum() + 100)], 0.9, 0.999)
+        phi = np.zeros((m, m))
+        for y in (0, 1):
+            centred = both - fire[y]
+            spread = np.sqrt(np.maximum(mass[y] @ centred**2, 1e-9))
+            phi = np.maximum(phi, (centred * mass[y][:, None]).T @ centred / np.outer(spread, spread))
         np.fill_diagonal(phi, 1)
         model = LabelModel(float(np.clip(total[1] / total.sum(), 0.001, 0.5)), fire, any_fires, 1 / phi.sum(axis=1))
     return model
