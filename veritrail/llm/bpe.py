@@ -93,7 +93,6 @@ class Bpe:
             self.automaton.add_word(b.decode("latin-1"), (i, len(b)))
         self.automaton.make_automaton()
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.whole = {b: i.to_bytes(4, "little") for b, i in self.id_of.items()}
         self.compatible_memo: dict[int, bool] = {}
         self.piece_memo: dict[str, bytes] = {}
         self.chunk_memo: dict[str, bytes] = {}
@@ -148,7 +147,7 @@ class Bpe:
             ids = self.piece_memo.get(piece)
             if ids is None:
                 b = piece.encode()
-                ids = self.whole.get(b) or np.array(self.piece(b), dtype="<u4").tobytes()
+                ids = np.array(self.piece(b), dtype="<u4").tobytes()
                 if len(piece) <= MEMO_KEY:
                     if len(self.piece_memo) >= MEMO:
                         self.piece_memo.clear()

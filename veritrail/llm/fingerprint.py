@@ -1,14 +1,16 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
-Each paragraph gives 64 entries of 8 bits (8 XXH64 hashes under different seeds); a
-fingerprint is the entrywise sum over the paragraphs modulo 2^30, and their number. So it does
+Each paragraph gives 255 entries of 4 bits (17 XXH64 hashes of its own XXH64 under different seeds); a
+fingerprint is the entrywise sum over the paragraphs modulo 2^20, and their number. So it does
 not depend on their order, and paragraphs are inserted or deleted by adding or subtracting.
-Paragraphs are lines, cut further after sentence ends, so that a one-line text has several.
+Paragraphs are lines, cut further after sentence ends (after CJK marks also where no space follows), and those of over LONG code points
+after words whose hash is divisible by eight, so that a text of one line has several, and an edit changes few.
 
-As entries are uniform and independent, the inner product of two centred fingerprints is about the
-number of paragraphs they share; likeness() is twice that over the sum of both squares.
+As entries are uniform and independent, the squares of the centred sums, and of the differences of two fingerprints, estimate how many paragraphs
+they hold (a paragraph that occurs m times counts m^2). likeness() is one less the share that only one of the two
+holds; its standard error is some 0.09 times that share. A paragraph that occurs over 69,905 times in one text wraps around.
 
-Two entries travel in one long (fields of 32 bits), 32 longs and the count make a vector.
+Three entries travel in one long (fields of 21 bits, of which the highest stays free for carries), 85 longs and the count make a vector.
 All of it is DataFrame functions, row by row.
 """
 
@@ -17,22 +19,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import WORD_SPACE, cut, row_key, text_of
+from veritrail.llm.common import WORD_SPACE, cut, once, repeated, row_key, text_of
 
-SEEDS, SHIFTS = 8, (0, 8, 16, 24)
+SEEDS, SHIFTS = 17, (0, 4, 8, 12, 16)
 LONGS = SEEDS * len(SHIFTS)
-MODULUS = 1 << 30
-ENTRY_FIELDS = 0x000000FF000000FF
-SUM_FIELDS = 0x3FFFFFFF3FFFFFFF
-PARAGRAPH_END = r"\n+|(?<=[.!?。！？])[ \t]+"
+#: Where the three fields of a long begin.
+FIELDS = (0, 21, 42)
+MODULUS = 1 << 20
+ENTRY_FIELDS = sum(0xF << at for at in FIELDS)
+SUM_FIELDS = sum(MODULUS - 1 << at for at in FIELDS)
+CARRIES = sum(MODULUS << at for at in FIELDS)
+#: The mean of an entry.
+MEAN = 7.5
+PARAGRAPH_END = r"\n+|(?<=[.!?])[ \t]+|(?<=[。！？])[ \t]*"
+#: Code points from which on a paragraph is cut at words.
+LONG = 400
 
 
 def paragraphs(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, PARAGRAPH_END), lambda p: F.btrim(p, F.lit(WORD_SPACE))), lambda p: p != "")
+    def cut_long(p: Column) -> Column:
+        words = F.transform(F.split(p, " "), lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(8)) == 0, F.concat(w, F.lit("\n"))).otherwise(w))
+        return F.when(F.length(p) > LONG, F.split(F.array_join(words, " "), "\n")).otherwise(F.array(p))
 
+    pieces = F.flatten(F.transform(F.split(text, PARAGRAPH_END), cut_long))
+    return F.filter(F.transform(pieces, lambda p: F.btrim(p, F.lit(WORD_SPACE))), lambda p: p != "")
 
-def vector(paras: Column) -> Column:
-    """32 packed sums, then the number of paragraphs. paras must be a column that is read more than once, not an expression."""
+
+def hashes(paras: Column) -> Column:
+    return F.transform(paras, lambda p: F.xxhash64(p))
+
+
+def vector(hashed: Column) -> Column:
+    """85 packed sums, then the number of paragraphs. hashed (see hashes()) must be a column that is read more than once, not an expression."""
 
     def total(seed: int, shift: int) -> Column:
         def add(sums: Column, p: Column) -> Column:
@@ -40,20 +58,23 @@ def vector(paras: Column) -> Column:
             h = F.shiftrightunsigned(h, shift) if shift else h
             return (sums + h.bitwiseAND(F.lit(ENTRY_FIELDS))).bitwiseAND(F.lit(SUM_FIELDS))
 
-        return F.aggregate(paras, F.lit(0).cast("long"), add)
+        return F.aggregate(hashed, F.lit(0).cast("long"), add)
 
-    return F.array(*(total(seed, shift) for seed in range(SEEDS) for shift in SHIFTS), F.size(paras).cast("long"))
+    return F.array(*(total(seed, shift) for seed in range(SEEDS) for shift in SHIFTS), F.size(hashed).cast("long"))
 
 
 def combine(a: Column, b: Column) -> Column:
     """The vector of both multisets together: insertion."""
-    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(SUM_FIELDS)))
+    return F.concat(F.zip_with(packed(a), packed(b), lambda x, y: (x + y).bitwiseAND(F.lit(SUM_FIELDS))), F.array(F.element_at(a, -1) + F.element_at(b, -1)))
 
 
 def remove(a: Column, b: Column) -> Column:
     """The vector of a without the paragraphs of b, which a must hold: deletion."""
-    borrow = F.lit((MODULUS << 32) | MODULUS)  # keeps both fields from going below zero
-    return F.zip_with(a, b, lambda x, y: (x + borrow - y).bitwiseAND(F.lit(SUM_FIELDS)))
+    return F.concat(F.zip_with(packed(a), packed(b), lambda x, y: (x.bitwiseOR(F.lit(CARRIES)) - y).bitwiseAND(F.lit(SUM_FIELDS))), F.array(F.element_at(a, -1) - F.element_at(b, -1)))
+
+
+def packed(v: Column) -> Column:
+    return F.slice(v, 1, LONGS)
 
 
 def hex_digits(v: Column) -> Column:
@@ -61,32 +82,29 @@ def hex_digits(v: Column) -> Column:
     return F.lower(F.array_join(F.transform(v, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def centred(v: Column) -> Column:
-    """The 64 sums as doubles, less their mean, for a vector v."""
-    count = F.element_at(v, -1)
-    half = MODULUS // 2
-    mean = F.floor(count * F.lit(255) / F.lit(2)) % F.lit(MODULUS)
-
-    def middle(x: Column) -> Column:
-        return (F.pmod(x - mean + F.lit(half), F.lit(MODULUS)) - F.lit(half)).cast("double")
-
-    packed = F.slice(v, 1, LONGS)
-    return F.concat(F.transform(packed, lambda x: middle(F.shiftrightunsigned(x, 32))), F.transform(packed, lambda x: middle(x.bitwiseAND(F.lit(MODULUS - 1)))))
+def squares(longs: Column, count: Column) -> Column:
+    """The sum of the squares of packed sums over count paragraphs, less their mean, each nearest to zero modulo 2^20."""
+    mean, half = count.cast("double") * MEAN, F.lit(MODULUS // 2)
 
+    def square(x: Column, at: int) -> Column:
+        away = F.shiftright(x, at).bitwiseAND(F.lit(MODULUS - 1)).cast("double") - mean + half
+        away = away - F.floor(away / MODULUS) * MODULUS - half
+        return away * away
 
-def inner(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return F.aggregate(longs, F.lit(0.0), lambda s, x: s + square(x, FIELDS[0]) + square(x, FIELDS[1]) + square(x, FIELDS[2]))
 
 
-def likeness(a: Column, b: Column, same: Column) -> Column:
-    """0 to 1 for two centred vectors; 1 exactly where same (equal fingerprints) holds."""
-    squares = inner(a, a) + inner(b, b)
-    return F.when(same, F.lit(1.0)).when(squares == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(2.0) * inner(a, b) / squares)))
+def likeness(a: Column, b: Column) -> Column:
+    """0 to 1 for two vectors, 1 if they are equal, 0 if either has no paragraphs."""
+    apart = F.zip_with(packed(a), packed(b), lambda x, y: (x.bitwiseOR(F.lit(CARRIES)) - y).bitwiseAND(F.lit(SUM_FIELDS)))
+    n, m = F.element_at(a, -1), F.element_at(b, -1)
+    share = squares(apart, n - m) / (squares(packed(a), n) + squares(packed(b), m))
+    return F.when(a == b, F.lit(1.0)).when((n == 0) | (m == 0), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - share)))
 
 
 def fingerprints(docs: DataFrame, text: Column, *keep: Column) -> DataFrame:
     """keep and vector, for an expression text over docs."""
-    return docs.select(*keep, paragraphs(text).alias("_paragraphs")).withColumn("vector", vector(F.col("_paragraphs"))).drop("_paragraphs")
+    return once(docs.select(*keep, hashes(paragraphs(text)).alias("_hashes"))).withColumn("vector", vector(F.col("_hashes"))).drop("_hashes")
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -116,32 +134,29 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next document. Null and empty texts have no
     paragraphs and so the zero vector; rows may repeat and ids may be null, see successors(). Other columns are not read; no rows: no rows.
-    Texts are shuffled by a 128-bit key of (id, text), once for both joins, and with them a quarter for the heads.
+    Texts are shuffled by a 128-bit key of (id, text) with their vectors, once for both joins, and with them a quarter for the heads.
     """
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
-    text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), text_of(text_col).alias("text"))
     pairs = cut(successors(rows.select("id", "k1", "k2", F.length("text").cast("long").alias("n_chars"))))
     if pairs.where("times > 1 or (next1 = k1 and next2 = k2)").limit(1).count():
         rows = rows.dropDuplicates(["k1", "k2"])
-    own = rows.select("k1", "k2", "text")
-    heads = pairs.join(own.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("text").alias("next_text")), ["next1", "next2"])
+    own = fingerprints(rows, F.col("text"), F.col("k1"), F.col("k2"), F.col("text"))
+    heads = pairs.join(own.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("text").alias("next_text"), F.col("vector").alias("next_vector")), ["next1", "next2"])
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    heads = heads.select("id", "k1", "k2", "n_chars", "times", "next1", "next2", F.col("next_text").substr(F.lit(1), quarter).alias("head"))
+    heads = heads.select("id", "k1", "k2", "n_chars", "times", F.col("next_text").substr(F.lit(1), quarter).alias("head"), "next_vector")
     edited = F.concat(F.col("text").substr(F.lit(1), (F.col("n_chars") - quarter).cast("int")), F.col("head"))
-    joined = own.join(heads, ["k1", "k2"]).withColumn("edited", edited)
-    joined = joined.select("id", "n_chars", "k1", "k2", "next1", "next2", "times", "edited", paragraphs(F.col("edited")).alias("paras"), paragraphs(F.col("text")).alias("own_paras"))
-    return joined.select("id", "n_chars", "k1", "k2", "next1", "next2", "times", "edited", vector(F.col("own_paras")).alias("vector"), vector(F.col("paras")).alias("edited_vector"))
+    joined = once(own.join(heads, ["k1", "k2"]).select("id", "n_chars", "times", edited.alias("edited"), "vector", "next_vector"))
+    edits = once(joined.select("*", hashes(paragraphs(F.col("edited"))).alias("_hashes")))
+    return once(edits.select("id", "n_chars", "times", "edited", "vector", vector(F.col("_hashes")).alias("edited_vector"), "next_vector"))
 
 
 def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: see fingerprint_edits()."""
-    made = fingerprint_edits(docs, id_col, text_col).withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
-    made = cut(made)
-    following = made.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("vector").alias("next_vector")).dropDuplicates(["next1", "next2"])
-    full = made.join(following, ["next1", "next2"])
-    full = full.withColumns({"a": centred(F.col("vector")), "b": centred(F.col("edited_vector")), "c": centred(F.col("next_vector"))})
-    near_edited = likeness(F.col("a"), F.col("b"), F.col("vector") == F.col("edited_vector"))
-    near_next = likeness(F.col("a"), F.col("c"), F.col("vector") == F.col("next_vector"))
-    out = full.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", hex_digits(F.col("vector")).alias("fingerprint"), hex_digits(F.col("edited_vector")).alias("edited_fingerprint"), near_edited.alias("near_edited"), near_next.alias("near_next"), "times")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("_copy", "times")
+    made = fingerprint_edits(docs, id_col, text_col)
+    v, e, n = F.col("vector"), F.col("edited_vector"), F.col("next_vector")
+    out = made.select(
+        F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), hex_digits(v).alias("fingerprint"), hex_digits(e).alias("edited_fingerprint"),
+        likeness(v, e).alias("near_edited"), likeness(v, n).alias("near_next"), F.col("times").alias("_times"),
+    )
+    return repeated(out, "_times")

@@ -21,7 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import once, row_key, text_of
+from veritrail.llm.common import once, repeated, row_key, text_of
 
 WORDS, CONTAINMENT, BANDS = 5, 0.8, 32
 #: Shingles of all templates together; more are refused, which bounds the broadcast.
@@ -34,17 +34,36 @@ TEMPLATES = {
         You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
         distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
         See the License for the specific language governing permissions and limitations under the License.""",
+    "MIT warranty": """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+        FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION
+        OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "MIT short": "Released under the MIT License.",
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
         to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
         copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
         The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+        and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
     "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
         Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
         Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
         and/or other materials provided with the distribution.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above
         copyright notice and this permission notice appear in all copies.""",
+    "GPL-2.0 notice": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+        the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful,
+        but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        You should have received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc.""",
+    "LGPL-2.1 notice": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by
+        the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful,
+        but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "LGPL-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by
+        the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "AGPL-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by
+        the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
     "GPL-3.0 short": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
         the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful,
@@ -54,6 +73,11 @@ TEMPLATES = {
     "CC-BY-4.0 short": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0 short": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0 short": "Licensed under CC BY-NC 4.0.",
+    "CC0-1.0 short": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
+        (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software""",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "All rights reserved": "No part of this publication may be reproduced, distributed, or transmitted in any form without the prior written permission of the publisher.",
 }
@@ -127,9 +151,11 @@ def candidates(holders: DataFrame, templates: DataFrame, scales: list[int], know
 def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document and license it holds: id, license, containment (0.8 to 1) and first_word, the place of the first word of the best window.
 
-    Null, empty and short texts hold none. Documents without a license give no row; each row of docs counts as a document, but
-    rows equal in id and text give their rows once. Ids may be null. Other columns are not read.
+    Null, empty and short texts hold none. Documents without a license give no row; each row of docs counts as a document, and rows that are
+    equal in id and text give theirs as often. Ids may be null; an id column named like a column of the result is refused. Other columns are not read.
     """
+    if id_col in ("license", "containment", "first_word"):
+        raise ValueError(f"the id column must not be named {id_col}")
     spark = docs.sparkSession
     chosen = template_frame(spark, templates if templates is not None else TEMPLATES)
     facts = chosen.agg(F.collect_set("scale").alias("scales"), F.flatten(F.collect_list("shingles")).alias("all")).first()
@@ -140,6 +166,9 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None, id
     named = holders.withColumns({"key1": F.struct("id", "key1")})
     found = candidates(named, chosen, sorted(facts["scales"]), known)
     share = F.size(F.array_intersect("window", "template")) / F.col("n")
+    # equal rows have equal windows: each start counts them
     verified = found.select("key1", "key2", "license", "start", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
-    best = verified.groupBy("key1", "key2", "license").agg(F.max(F.struct("containment", (-F.col("start")).alias("back"))).alias("best"))
-    return best.select(F.col("key1.id").alias(id_col), "license", F.col("best.containment").alias("containment"), (-F.col("best.back")).cast("long").alias("first_word"))
+    placed = verified.groupBy("key1", "key2", "license", "start").agg(F.max("containment").alias("containment"), F.count(F.lit(1)).alias("copies"))
+    best = placed.groupBy("key1", "key2", "license").agg(F.max(F.struct("containment", (-F.col("start")).alias("back"), "copies")).alias("best"))
+    out = best.select(F.col("key1.id").alias(id_col), "license", F.col("best.containment").alias("containment"), (-F.col("best.back")).cast("long").alias("first_word"), F.col("best.copies").alias("_copies"))
+    return repeated(out, "_copies")

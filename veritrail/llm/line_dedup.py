@@ -56,7 +56,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines are split at \\n; their key is the line with white space stripped at both ends and
     A-Z lowered. Each row counts as a document of its own, also where its id is null or repeated. A null
     or empty text is one empty line; lines with a key of under min_chars code points always stay. A text whose
-    lines all go becomes empty. Other columns pass through, whatever their names; no rows: no rows.
+    lines all go becomes empty. Other columns pass through, whatever their names (but columns named like the
+    two added ones are replaced); no rows: no rows.
     """
     lines = F.split(text_of(text_col), "\n")
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
@@ -73,5 +74,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
     whole = keyed.join(dropped, ["k1", "k2"], "left").select("row", text.alias("text"), F.split(text, "\n").alias("lines"), "dropped")
     rebuilt = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(without_positions(F.col("lines"), F.col("dropped")), "\n"))
-    columns = [rebuilt.alias(text_col) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
+    columns = [rebuilt.alias(text_col) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
     return whole.select(*columns, F.size("lines").cast("long").alias("_n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("_n_dropped"))

@@ -20,6 +20,7 @@ from veritrail.llm.common import cut, small_batches, text_of
 
 MAX_TOKENS = 2048
 END_ID = 1
+RESULT = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
 def binary_lengths(n: int, largest: int) -> list[int]:
@@ -64,10 +65,12 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts hold the end id alone. Ids may be null or repeated: each row is a document. Rows are numbered
     within hashed parts of a bucket, whose sizes are added up first (12 rows a part), so no task holds a bucket.
-    No rows give no pieces; other columns are not read.
+    No rows give no pieces; other columns are not read. An id column named like a column of the result is refused.
     """
+    if id_col in RESULT:
+        raise ValueError(f"the id column must not be named {id_col}")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    made = cut(pieces(docs, path, id_col, text_col, max_tokens, end_id, with_ids)).withColumn("part", F.pmod(F.xxhash64("id", "start"), F.lit(parts)))
+    made = cut(pieces(docs, path, id_col, text_col, max_tokens, end_id, with_ids)).withColumn("part", F.pmod(F.xxhash64("id", "start", "doc_tokens", "ids_crc32"), F.lit(parts)))
     sizes = made.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.orderBy("length", "part").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("length", "part", F.coalesce(before, F.lit(0)).alias("first"))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import WORD_SPACE, WORD_SPACE_CLASS, once, text_of
+from veritrail.llm.common import WORD_SPACE, WORD_SPACE_CLASS, bounded_sample, once, text_of
 
 #: The list is fitted on so many labelled documents at most, those with the least hash of the id.
 SAMPLE = 20_000
@@ -168,15 +168,13 @@ def learn_rules(x: np.ndarray, bad: np.ndarray) -> list[list[Condition]]:
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[list[Condition]]:
-    """Learn from the labelled documents that pass the base rules; SAMPLE rows of numbers at most come to the driver."""
-    chosen = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col("quality").alias("quality"))
-    chosen = chosen.groupBy("id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    stats = statistics(some.select(F.struct("id", "quality").alias("key"), "text"), "key", "text")
-    rows = stats.where(~base_failed()).select("id.id", "id.quality", *(c.alias(k) for k, c in ratios().items())).orderBy(F.xxhash64("id.id"), "id.id").collect()
+    """Learn from the labelled texts that pass the base rules, each distinct text once; SAMPLE rows of numbers at most come to the driver, however often ids repeat."""
+    some = bounded_sample(docs, labels.withColumn("_bad", (F.col("quality") == 0).cast("int")), "_bad", SAMPLE, id_col, text_col)
+    stats = statistics(some.select(F.struct(F.xxhash64("text").alias("h"), "label").alias("key"), "text"), "key", "text")
+    rows = stats.where(~base_failed()).select("id.h", "id.label", *(c.alias(k) for k, c in ratios().items())).orderBy("h", "label").collect()
     if not rows:
         return []
-    return learn_rules(np.array([[r[k] for k in RATIOS] for r in rows], dtype=float), np.array([r["quality"] == 0 for r in rows]))
+    return learn_rules(np.array([[r[k] for k in RATIOS] for r in rows], dtype=float), np.array([r["label"] == 1 for r in rows]))
 
 
 def verdict(rules: list[list[Condition]]) -> Column:

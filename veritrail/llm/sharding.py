@@ -25,6 +25,9 @@ PRIME = 65_537
 LARGEST = 1_000_003
 
 
+ADDED = ("_slot", "_shard_id", "_shard")
+
+
 def is_prime(n: int) -> bool:
     return n > 1 and all(n % k for k in range(2, int(n**0.5) + 1))
 
@@ -74,19 +77,28 @@ def slot_of(key: Column, size: int) -> Column:
 def shard(docs: DataFrame, shards: Sequence[str], key_col: str = "doc_id", size: int = PRIME, weights: Sequence[int] | None = None) -> DataFrame:
     """docs with _slot, _shard_id and _shard.
 
-    Equal keys meet in one shard, whatever their number; null and empty keys share one. Other columns pass through.
+    Equal keys meet in one shard, whatever their number; null and empty keys share one. Other columns pass through; columns of docs
+    that are named like the three are replaced.
     """
     table = lookup(docs.sparkSession, shards, size, weights)
     named = table.select(F.col("slot").alias("_slot"), F.col("shard_id").alias("_shard_id"), F.col("shard").alias("_shard"))
     whole = docs.select(F.struct("*").alias("row"), slot_of(F.col(key_col), size).alias("_slot"))  # own columns of any name stay apart
-    return whole.join(F.broadcast(named), "_slot").select("row.*", "_slot", "_shard_id", "_shard")
+    return whole.join(F.broadcast(named), "_slot").select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c not in ADDED), *ADDED)
 
 
-def write_shards(docs: DataFrame, path: str, shards: Sequence[str], key_col: str = "doc_id", files_per_shard: int = 1, **options) -> None:
-    """Write docs as Parquet, a folder for each shard.
+def write_shards(docs: DataFrame, path: str, shards: Sequence[str], key_col: str = "doc_id", files_per_shard: int = 1, **options) -> str:
+    """Write docs as Parquet, a folder for each shard; returns the name of the folders' column: shard, or with underscores before it if docs has that column.
 
-    Rows are dealt by (shard, part of the key's hash), so one shard fills files_per_shard tasks; a key that holds most rows needs more files only, never more memory.
+    Rows are dealt by (shard, part), where the part comes from the key and the input partition: a shard fills files_per_shard tasks, and a key or row that is repeated
+    without end is spread over them as it is over the input. Columns of any name and type are written as they are.
     """
-    placed = shard(docs, shards, key_col, **options)
-    salt = F.pmod(F.xxhash64(*docs.columns), F.lit(files_per_shard))
-    placed.withColumn("_salt", salt).repartition(len(shards) * files_per_shard, "_shard", "_salt").drop("_salt", "_slot", "_shard_id").withColumnRenamed("_shard", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    column = "shard"
+    while column in docs.columns:
+        column = f"_{column}"
+    size = options.get("size", PRIME)
+    named = lookup(docs.sparkSession, shards, **options).select("slot", "shard")
+    part = F.pmod(F.xxhash64(F.coalesce(F.col(key_col).cast("string"), F.lit("")), F.spark_partition_id()), F.lit(files_per_shard))
+    dealt = docs.select(F.struct("*").alias("row"), slot_of(F.col(key_col), size).alias("slot"), part.alias("part")).join(F.broadcast(named), "slot")
+    dealt = dealt.repartition(len(shards) * files_per_shard, "shard", "part")
+    dealt.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), F.col("shard").alias(column)).write.mode("overwrite").partitionBy(column).parquet(path)
+    return column

@@ -26,7 +26,9 @@ from veritrail.operators.components import connected_components
 
 SEED = 42
 MAX_DISTANCE = 2
+#: Buckets of more distinct fingerprints are linked by stars instead of table fetches; which of the two is used changes no result.
 BUCKET_LIMIT = 64
+SALTS = 16
 #: Shingles whose bits are added up at once; bounds the memory a very long text takes.
 CHUNK = 1 << 16
 
@@ -71,7 +73,9 @@ def near_links(fingerprints: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> Dat
     pairs = probes.join(small, ["seg", "key"]).where((F.col("probe") != F.col("fp")) & (F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= MAX_DISTANCE))
     links = pairs.select(F.least("probe", "fp").alias("a"), F.greatest("probe", "fp").alias("b"))
     large = sizes.where(F.col("n") > bucket_limit).select("seg", "key")
-    touching = probes.join(large, ["seg", "key"]).select(F.col("probe").alias("fp")).distinct()
+    # a crowded segment is one key: it is spread over SALTS
+    salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    touching = probes.withColumn("salt", F.pmod(F.xxhash64("probe"), F.lit(SALTS)).cast("int")).join(salted, ["seg", "key", "salt"]).select(F.col("probe").alias("fp")).distinct()
     whole_ball = [F.lit(0).cast("long"), *(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64))]
     keyed = touching.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(x) for x in whole_ball))).alias("key"))
     stars = keyed.join(keyed.groupBy("key").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least"), "key")
@@ -104,17 +108,16 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group: the one with the least id; all columns stay.
 
-    Ids may repeat, in different groups too: each group has its own row, found by a key of id and text. Of a group's rows with the least id, the one with the least
-    key stays; rows of the same id and text count as one. Rows without an id stand for their group only if no row of it has one.
+    Ids may repeat, in different groups too: each group has its own row, found by a key of the row's columns (maps, which have no hash, aside). Of a group's rows with the least
+    id, the one with the least key stays; equal rows count as one. Rows without an id stand for their group only if no row of it has one. Columns of any name pass through.
     """
     small_batches(docs.sparkSession)
-    k1, k2 = row_key(F.col(id_col), F.col(text_col))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    k1, k2 = row_key(*hashed)
     prints = cut(docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), fingerprint_udf()(text_of(text_col)).alias("fp")))
     per_print = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("id").alias("unnamed"), "id", "k1", "k2")).alias("first"))
     members = connected_components(near_links(per_print.select("fp")))
     labelled = per_print.join(members.withColumnRenamed("node", "fp"), "fp", "left")
-    firsts = cut(labelled.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first")).select(F.col("first.k1").alias("_key1"), F.col("first.k2").alias("_key2")))
-    kept = docs.withColumns({"_key1": k1, "_key2": k2}).join(firsts, ["_key1", "_key2"], "left_semi")
-    if prints.join(firsts, (prints["k1"] == firsts["_key1"]) & (prints["k2"] == firsts["_key2"]), "left_semi").count() > firsts.count():
-        kept = kept.dropDuplicates(["_key1", "_key2"])
-    return kept.drop("_key1", "_key2")
+    firsts = cut(labelled.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first")).select("first.k1", "first.k2"))
+    kept = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2")).join(firsts, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
