@@ -8,12 +8,24 @@ from pyspark.sql import functions as F
 from veritrail.session import cut
 
 
+#: Links from which on a node's rows are no longer joined by a shuffle on the node.
+HOT_LINKS = 1 << 17
+
+
 def _signature(edges: DataFrame) -> tuple:
     h = F.xxhash64("a", "b")
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 31)))).first())
 
 
-def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _with_value(rows: DataFrame, values: DataFrame, hot_links: int) -> DataFrame:
+    """rows(a, b) joined with values(a, m, n). Nodes of more than hot_links rows (of which there is one in hot_links rows at most) are broadcast, so that no task gets all rows of one."""
+    hot = values.where(F.col("n") > hot_links).select("a", F.col("m").alias("hot"))
+    marked = rows.join(F.broadcast(hot), "a", "left")
+    cool = marked.where("hot is null").select("a", "b").join(values.where(F.col("n") <= hot_links).select("a", "m"), "a").select("a", "b", "m")
+    return marked.where("hot is not null").select("a", "b", F.col("hot").alias("m")).unionByName(cool)
+
+
+def connected_components(links: DataFrame, max_rounds: int = 100, hot_links: int = HOT_LINKS) -> DataFrame:
     """(node, component) of every node in links(a, b), where component is the least node reachable.
 
     Each round links every node's greater neighbours, then its lesser ones, to its least neighbour
@@ -29,10 +41,10 @@ def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
         if not before[0]:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = _with_value(both, least, hot_links).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        lower = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = _with_value(large, lower, hot_links).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct())
         after = _signature(edges)
         if after == before:
