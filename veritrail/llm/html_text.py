@@ -5,7 +5,8 @@ is visible; a renderer lays the visible text out as a browser would in plain tex
 own, blank lines around paragraphs and headings, list markers with indentation, preformatted text as it
 is, and table cells in aligned columns. All visible text is emitted, navigation and advertisements included.
 
-Nothing recurses over the depth of a page, except nested tables, whose depth is bounded (deeper ones are laid out as blocks).
+Nothing recurses over the depth of a page: elements wait on a list, and the layout of a cell is a generator that the one driver loop runs while that
+of its table waits.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Generator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,7 +64,14 @@ SVG_UNSHOWN = _names("clippath defs desc filter lineargradient marker mask metad
 #: End tags do not reach beyond these.
 SCOPE = {"p": _names("table td th caption button"), "li": _names("ul ol menu dir table")}
 TABLE_SCOPE = _names("table")
-MAX_TABLES = 24
+#: Character references beyond Unicode, however many digits they have.
+TOO_LARGE = re.compile(r"&#(?:0*[1-9][0-9]{7,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{6,});?")
+LEADING_ZEROS = re.compile(r"&#([xX]?)0{5,}")
+
+
+def unescape(text: str) -> str:
+    """Character references resolved; those beyond Unicode become U+FFFD, without a look at more digits than Unicode has."""
+    return html.unescape(LEADING_ZEROS.sub(r"&#\g<1>0", TOO_LARGE.sub("\ufffd", text)))
 
 
 class Element:
@@ -77,7 +86,7 @@ class Element:
             return None
         for m in ATTRIBUTE.finditer(self.attributes):
             if m[1].lower() == key:
-                return html.unescape(m[2] or m[3] or m[4] or "")
+                return unescape(m[2] or m[3] or m[4] or "")
         return None
 
 
@@ -149,7 +158,7 @@ class Builder:
 
     def text(self, s: str) -> None:
         if s:
-            s = html.unescape(s) if "&" in s else s
+            s = unescape(s) if "&" in s else s
             if self.open[-1].name in HOLDS_ONLY and s.strip(" \t\n\r\f"):
                 self.leave("#text")
             self.open[-1].children.append(s)
@@ -188,7 +197,7 @@ def parse(page: str) -> Element:
                 upto = found.start() if found else -1
             upto = size if upto < 0 else upto
             if name in ("textarea", "xmp"):
-                e.children.append(html.unescape(page[at:upto]) if name == "textarea" else page[at:upto])
+                e.children.append(unescape(page[at:upto]) if name == "textarea" else page[at:upto])
             at = upto
         elif name == "plaintext":
             e.children.append(page[at:])
@@ -241,7 +250,7 @@ class Layout:
             lead = self.prefix
             if self.marker:
                 lead, self.marker = self.prefix[: -len(self.marker)] + self.marker, ""
-            self.lines.append((lead + x).rstrip(" "))
+            self.lines.append((lead + x if lead else x).rstrip(" "))
 
     def blank(self) -> None:
         self.flush()
@@ -284,12 +293,29 @@ def svg_texts(svg: Element, shown: bool) -> list[tuple[Element, bool]]:
     return found
 
 
-def number(value: str | None, default: int, most: int) -> int:
-    return max(1, min(most, int(value))) if value and value.strip().isascii() and value.strip().isdigit() else default
+def number(value: str | None, default: int, most: int, least: int = 1) -> int:
+    """The number that value begins with, within bounds; no more digits than the greatest has are converted."""
+    found = re.match(r"[ \t\n\f\r]*\+?0*([0-9]+)", value or "")
+    if not found:
+        return default
+    return most if len(found[1]) > len(str(most)) else max(least, min(most, int(found[1])))
 
 
-def render(root: Element, depth: int = 0, shown: bool = True) -> list[str]:
+def render(root: Element) -> list[str]:
     """The lines of the visible text below root."""
+    waiting, lines = [layout(root, True)], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(lines))
+            lines = None
+        except StopIteration as done:
+            waiting.pop()
+            lines = done.value
+    return lines
+
+
+def layout(root: Element, shown: bool) -> Generator[Generator, list[str], list[str]]:
+    """The lines below root. Yields the layouts whose lines it needs."""
     out = Layout()
     # a task is an element to enter, a text, or a closing action; the last one is done first
     todo: list[tuple] = [("nodes", root.children, False, shown, None)]
@@ -325,9 +351,9 @@ def render(root: Element, depth: int = 0, shown: bool = True) -> list[str]:
             if value and value.strip():
                 out.words(f" {value} ")
             continue
-        if name == "table" and depth < MAX_TABLES:
+        if name == "table":
             out.blank()
-            out.put(table_lines(node, depth + 1, seen))
+            out.put((yield table_layout(node, seen)))
             out.gap = 1
             continue
         if name == "svg":
@@ -336,7 +362,7 @@ def render(root: Element, depth: int = 0, shown: bool = True) -> list[str]:
                 todo.append(("leave", lambda: setattr(out, "space", True)))
                 todo.append(("nodes", e.children, pre, e_seen, None))
             continue
-        if name in ("pre", "textarea", "xmp"):
+        if name in ("pre", "textarea", "xmp") and not pre:
             _preformatted(out, node, todo, seen)
             continue
         if name not in BLOCK:
@@ -345,6 +371,13 @@ def render(root: Element, depth: int = 0, shown: bool = True) -> list[str]:
                 todo.append(("leave", lambda: out.inline.append('"')))
             todo.append(("nodes", node.children, pre, seen, counter))
             continue
+        if pre:
+            # a block within preformatted text begins and ends a line, and its spaces stay
+            fresh = lambda: out.inline.append("\n") if "".join(out.inline[-1:])[-1:] not in ("", "\n") else None
+            fresh()
+            todo.append(("leave", fresh))
+            todo.append(("nodes", node.children, True, seen, None))
+            continue
         out.flush()
         if name in SPACED and not (name in LISTS and counter is not None):
             out.gap = 1
@@ -399,9 +432,14 @@ def _preformatted(out: Layout, node: Element, todo: list, seen: bool) -> None:
     todo.append(("nodes", node.children, True, seen, None))
 
 
-def table_lines(table: Element, depth: int, shown: bool) -> list[str]:
-    """Captions and loose content first, then rows with aligned columns; rows of several-line cells take as many lines."""
-    rows: list[list[tuple[list[str], int]]] = []
+def table_layout(table: Element, shown: bool) -> Generator[Generator, list[str], list[str]]:
+    """Captions and loose content first, then rows with aligned columns; rows of several-line cells take as many lines.
+
+    A cell of several columns or rows keeps their places free (1,000 columns and 65,534 rows at most, as HTML has it; 64 columns widen it). Yields the layouts of cells.
+    """
+    rows: list[list[tuple[int, list[str], int]]] = []  # of each row: column, lines and columns of its cells
+    held: dict[int, int] = {}  # the first row in which a column is no longer taken by a cell above
+    at = 0
     loose = Element("div")
     todo = [(c, shown) for c in reversed(table.children)]
     while todo:
@@ -415,37 +453,51 @@ def table_lines(table: Element, depth: int, shown: bool) -> list[str]:
         seen = visibility(e, seen)
         if e.name in ("tbody", "thead", "tfoot"):
             todo.extend((c, seen) for c in reversed(e.children))
-        elif e.name == "tr":
-            cells = []
-            for c in e.children:
+            held = {}  # cells end with their group of rows
+        elif e.name in ("tr", "td", "th"):
+            cells, column = [], 0
+            for c in e.children if e.name == "tr" else [e]:
                 if isinstance(c, Element) and c.name in ("td", "th") and not hidden(c):
-                    cells.append((render(c, depth, visibility(c, seen)) or [""], number(c.get("colspan"), 1, 1000)))
+                    while held.get(column, 0) > at:
+                        column += 1
+                    span, below = number(c.get("colspan"), 1, 1000), number(c.get("rowspan"), 1, 65534, 0)
+                    cells.append((column, (yield layout(c, visibility(c, seen))) or [""], span))
+                    if below != 1:
+                        held |= dict.fromkeys(range(column, column + span), at + (below or 65534))
+                    column += span
                 elif isinstance(c, Element) or c.strip():
                     loose.children.append(c)
+            at += 1
             if cells:
                 rows.append(cells)
-        elif e.name in ("td", "th"):
-            rows.append([(render(e, depth, seen) or [""], 1)])
         else:
             loose.children.append(e)
-    lines = render(loose, depth, shown)
+    lines = yield layout(loose, shown)
+    if all(len(row) == 1 and row[0][0] == 0 for row in rows):  # one column needs no widths
+        return lines + [x for row in rows if any(row[0][1]) for x in row[0][1]]
     widths: dict[int, int] = {}
     for row in rows:
-        column = 0
-        for cell, span in row:
+        for column, cell, span in row:
             if span == 1:
                 widths[column] = max(widths.get(column, 0), max(map(width, cell)))
-            column += span
+    ends = sorted({column for row in rows for column, _, _ in row} | set(widths))
     for row in rows:
-        if all(not any(cell) for cell, _ in row):
+        if all(not any(cell) for _, cell, _ in row):
             continue
-        for k in range(max(len(cell) for cell, _ in row)):
-            out, column = [], 0
-            for cell, span in row:
+        taken = {column: (cell, span) for column, cell, span in row}
+        last = row[-1][0]
+        for k in range(max(len(cell) for _, cell, _ in row)):
+            out, upto = [], 0
+            for column in ends:
+                if column > last:
+                    break
+                if column < upto:
+                    continue
+                cell, span = taken.get(column, ([], 1))
                 text = cell[k] if k < len(cell) else ""
+                upto = column + span
                 room = sum(widths.get(c, 0) for c in range(column, column + min(span, 64))) + 2 * (min(span, 64) - 1)
                 out.append(text + " " * max(0, room - width(text)))
-                column += span
             lines.append("  ".join(out).rstrip(" "))
     return lines
 
