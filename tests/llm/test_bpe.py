@@ -45,7 +45,8 @@ def test_any_text(text):
 
 def test_each_token_encodes_to_itself_and_pairs_agree():
     bpe, rng = load(PATH), random.Random(5)
-    for token, b in rng.sample(sorted(bpe.bytes_of.items()), 3000):
+    assert len(bpe.bytes_of) > 50_000
+    for token, b in bpe.bytes_of.items():
         assert bpe.piece(b) == [token]
     for code in rng.sample(range(sys.maxunicode), 4000):
         if not 0xD800 <= code < 0xE000:
@@ -91,4 +92,7 @@ def test_pack_holds_every_id_once(spark):
     assert sum(r.length for r in got) == total
     buckets = [r.length for r in sorted(got, key=lambda r: r.sequence_id)]
     assert buckets == sorted(buckets)
-    assert pieces(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert pieces(empty, PATH).count() == 0 == pack(empty, PATH).count()
+    with pytest.raises(ValueError):
+        pack(empty.withColumnRenamed("doc_id", "start"), PATH, id_col="start")

@@ -47,10 +47,33 @@ def test_against_brute_force(spark):
     assert len(got) > 60 and all(r.first_word >= 0 for r in got)
 
 
+def test_recall_against_every_position(spark):
+    """A run of words anywhere that holds 0.8 of a template lies in some window, and bands find it."""
+    rng = random.Random(3)
+    rows = []
+    for i, name in enumerate(sorted(li.TEMPLATES) * 3):
+        words = re.sub(r"\s+", " ", li.TEMPLATES[name]).split(" ")
+        if rng.random() < 0.5 and len(words) > 60:
+            words[rng.randrange(len(words))] = "changed"
+        rows.append((i, " ".join([f"w{rng.randrange(300)}" for _ in range(rng.randrange(200))] + words + [f"w{rng.randrange(300)}" for _ in range(rng.randrange(200))])))
+    got = {(r.doc_id, r.license) for r in li.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = set()
+    for i, text in rows:
+        own = shingles(text)
+        for name, t in li.TEMPLATES.items():
+            there = set(shingles(t))
+            scale = li.scale_of(len(there))
+            if any(len(there & set(own[k : k + scale])) >= 0.8 * len(there) for k in range(max(1, len(own) - scale // 2))):
+                want.add((i, name))
+    assert len(want) >= len(rows) and len(want - got) <= 0.01 * len(want)
+
+
 def test_repeats_empty_and_refusals(spark):
     row = (1, "Released under the MIT License.")
-    frame = spark.createDataFrame([row, row], "doc_id long, text string")
-    assert [(r.doc_id, r.license, r.containment, r.first_word) for r in li.license_scan(frame).collect()] == [(1, "MIT short", 1.0, 0)]
+    frame = spark.createDataFrame([row, row, (1, "no"), row], "doc_id long, text string")
+    assert [(r.doc_id, r.license, r.containment, r.first_word) for r in li.license_scan(frame).collect()] == [(1, "MIT short", 1.0, 0)] * 3
+    with pytest.raises(ValueError):
+        li.license_scan(frame.withColumnRenamed("doc_id", "license"), id_col="license")
     assert li.license_scan(frame.limit(0)).count() == 0
     with pytest.raises(ValueError):
         li.license_scan(frame, {"x": "too short"})

@@ -37,6 +37,11 @@ def test_against_brute_force(spark):
         assert sorted((str(r.doc_id), r._n_lines, r._n_dropped, r.text) for r in got.collect()) == brute(rows, least)
 
 
+def test_clashing_names_are_replaced(spark):
+    got = line_dedup(spark.createDataFrame([(1, "a", 7, 8)], "doc_id long, text string, _n_lines int, _n_dropped int"))
+    assert [tuple(r) for r in got.collect()] == [(1, "a", 1, 0)] and got.columns == ["doc_id", "text", "_n_lines", "_n_dropped"]
+
+
 def test_no_rows(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

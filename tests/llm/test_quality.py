@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from unicodedata import category
 
 import numpy as np
 
@@ -15,7 +16,7 @@ def brute(text):
     windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
     hit = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in range(i, i + 3)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
-    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit), sum(c == "!" for c in text), len(set(w)), text.count("\n") + 1
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit), sum(category(c) == "Lu" for c in text), sum(c == "!" for c in text), len(set(w)), text.count("\n") + 1
 
 
 def texts():
@@ -28,7 +29,7 @@ def texts():
 def test_statistics(spark):
     rows = [(i, t, 1, "x") for i, t in enumerate(texts())] + [(None, "q q", 1, "x"), (3, "a", 1, "x"), (3, "a", 1, "x")]
     got = quality.statistics(spark.createDataFrame(rows, "doc_id long, text string, w int, h string")).collect()
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_exclaims", "n_distinct_words", "n_lines")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclaims", "n_distinct_words", "n_lines")
     assert sorted((str(r.id), *(r[k] for k in names)) for r in got) == sorted((str(i), *brute(t)) for i, t, _, _ in rows)
 
 
@@ -59,6 +60,18 @@ def test_learned_list_rejects_unlabelled_bad_and_keeps_good(spark):
     assert quality.quality_verdicts(docs.limit(0), labels).count() == 0
 
 
+def test_labels_all_null_and_a_bounded_sample(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    nothing = docs.selectExpr("doc_id", "cast(null as string) as text")
+    assert quality.fit_rules(nothing, labels) == [] == quality.fit_rules(docs, labels.selectExpr("doc_id", "cast(null as int) as quality"))
+    sizes = []
+    monkeypatch.setattr(quality, "SAMPLE", 10)
+    monkeypatch.setattr(quality, "learn_rules", lambda x, bad: sizes.append(len(x)) or [])
+    one = docs.selectExpr("1 as doc_id", "text")
+    quality.fit_rules(one, spark.createDataFrame([(1, 0)], "doc_id long, quality int"))
+    assert sizes == [10]
+
+
 def test_no_rule_from_noise():
     rng = np.random.default_rng(0)
     assert quality.learn_rules(rng.normal(size=(900, len(quality.RATIOS))), rng.random(900) < 0.1) == []

@@ -72,6 +72,13 @@ def test_components_shapes(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hot_nodes_and_crowded_segments(spark):
+    links = [(0, i) for i in range(1, 400)] + [(i, 1000 + i) for i in range(1, 40)] + [(5000, 5001)]
+    for hot in (1, 20, 1 << 17):
+        got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long"), hot_links=hot).collect()}
+        assert got == {n: 0 if n < 5000 else 5000 for link in links for n in link}
+
+
 def corpus():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
@@ -117,3 +124,13 @@ def test_near_dedup_keeps_each_group_of_a_repeated_id(spark):
     for order in (rows, rows[::-1]):
         kept = near_dedup(spark.createDataFrame(order, "doc_id long, text string")).collect()
         assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("0", texts[0]), *(("1", t) for t in texts[1:]), ("None", "no id")])
+
+
+def test_near_dedup_is_determined_and_takes_any_columns(spark):
+    rows = [(1, "one text", s, {"m": 1}, 5) for s in "cab"] + [(2, "one text", "0", None, 5)]
+    for order in (rows, rows[::-1]):
+        kept = near_dedup(spark.createDataFrame(order, "doc_id long, text string, k1 string, row map<string, int>, component int"))
+        assert kept.columns == ["doc_id", "text", "k1", "row", "component"]
+        got = kept.collect()
+        assert len(got) == 1 and got[0].doc_id == 1
+        assert got[0].k1 == (first := got[0].k1 if order is rows else first)
