@@ -6,7 +6,6 @@ All but the last return the columns of documents. Texts without a line left stay
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,7 @@ from veritrail.llm.quality import keep_quality
 from veritrail.llm.queries import tokenizer_path
 from veritrail.llm.simhash import near_dedup
 from veritrail.llm.toxicity import keep_clean
+from veritrail.session import remove_folder, shared_folder
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder of spark.checkpoint.dir and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-    place = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents, each written to the shared folder of spark.checkpoint.dir and read again; a stage's folder goes once the next one is written."""
+    place = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{k}")
         docs = spark.read.parquet(f"{place}/{k}")
+        if k:
+            remove_folder(spark, f"{place}/{k - 1}")
     return docs

@@ -191,15 +191,13 @@ ORACLES = {
 
 def stream_ledger(spark, sf_dir):
     """The ledger by Structured Streaming over the same log, as a file source read to its end."""
-    import tempfile
     import uuid
 
-    from veritrail.session import ship_package
+    from veritrail.session import remove_folder, shared_folder, ship_package
     from veritrail.streaming import incremental
 
     ship_package(spark)
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-    place, name = f"{shared}/stream-{uuid.uuid4().hex}", f"ledger_{uuid.uuid4().hex}"
+    place, name = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}", f"ledger_{uuid.uuid4().hex}"
     log(spark, sf_dir).select("url", "retrieved_at", "seq", "sha256", "http_status").write.parquet(f"{place}/in")
     rows = spark.readStream.schema("url string, retrieved_at string, seq long, sha256 string, http_status int").parquet(f"{place}/in")
 
@@ -207,6 +205,8 @@ def stream_ledger(spark, sf_dir):
         batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{place}/out")
 
     incremental.stream_ledger(rows).writeStream.queryName(name).outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    for done in ("in", "state"):
+        remove_folder(spark, f"{place}/{done}")
     return logstate.latest_per_key(spark.read.parquet(f"{place}/out"), "url", ["batch"]).drop("batch")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def session(app: str = "veritrail", **conf: str) -> SparkSession:
     """A session with the settings that the library's results rely on (UTC) or gain by (adaptive execution)."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.sql.adaptive.skewJoin.enabled", "true")
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.sql.adaptive.skewJoin.enabled", "true").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -35,15 +35,33 @@ def ship_package(spark: SparkSession) -> None:
     context._veritrail_shipped = True
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: spark.checkpoint.dir. Where it is unset, a local folder if all tasks run in this process, else an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if getattr(context, "_veritrail_folder", None) is None:
+        context._veritrail_folder = tempfile.mkdtemp(prefix="checkpoints-")
+    return context._veritrail_folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder of spark.checkpoint.dir.
+    """Cut the lineage by a checkpoint in the shared folder.
 
-    The folder is set here only where the cluster names none, as in tests.
+    Checkpoints go with the session; spark.cleaner.referenceTracking.cleanCheckpoints (which session() sets) removes them as soon as nothing refers to them.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
