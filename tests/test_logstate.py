@@ -87,8 +87,10 @@ def test_response_classifier(spark):
 
 
 @settings(max_examples=50, deadline=None)
-@given(st.dictionaries(st.text(min_size=1, max_size=4), st.integers(1, 100), max_size=30), st.integers(1, 6))
-def test_packing_is_whole_and_even(sizes, chunks):
-    placed = logstate.pack_hosts(list(sizes.items()), chunks)
-    load = [sum(sizes[h] for h in sizes if placed[h] == k) for k in range(chunks)]
-    assert set(placed) == set(sizes) and max(load) - min(load) <= max(sizes.values(), default=0)
+@given(st.dictionaries(st.text(min_size=1, max_size=4), st.integers(1, 100), max_size=30), st.integers(1, 250))
+def test_packing_is_whole_and_first_fit(sizes, target):
+    placed = logstate.pack_hosts(list(sizes.items()), target)
+    load = [sum(sizes[h] for h in sizes if placed[h] == k) for k in range(max(placed.values(), default=-1) + 1)]
+    assert set(placed) == set(sizes) and all(n <= target or sum(k == at for at in placed.values()) == 1 for k, n in enumerate(load))
+    # no chunk would have had room for the first host of a later one
+    assert all(load[i] + max(sizes[h] for h in sizes if placed[h] == j) > target for j in range(len(load)) for i in range(j))

@@ -20,7 +20,7 @@ def test_priorities_ranking_and_dates(spark):
     assert {r.score: (r.band, r.reasons) for r in recovery.ocr_priority(ocr).collect()} == {8: ("HIGH", ["high_value", "url_high", "family", "pages"]), 0: ("LOW", [])}
     spans = spark.createDataFrame([(1, 0, "COURT", "DOJ", "https://x/complaint", "OWNERSHIP_EXPLICIT", "owned by", "Acme LLC is 50% owned by John Smith since 2019"), (1, 1, None, None, "u", "X", "x" * 50, "means")], "id long, seq int, provenance string, family string, url string, category string, matched_text string, paragraph string")
     ranked = recovery.rank_spans(spans).orderBy("seq").collect()
-    assert [r.review_priority for r in ranked] == [3 + 2 + 5 + 2 + 3 + 3 + 1 - 1, 1 - 2] and ranked[1].ranking_features == {"provenance": 0, "family": 0, "category": 1, "definitional": -2}
+    assert [r.review_priority for r in ranked] == [3 + 2 + 5 + 2 + 3 + 1, 1 - 2] and ranked[1].ranking_features == {"provenance_weight": 0, "family_weight": 0, "category_weight": 1, "definitional": -2}
     docs = spark.createDataFrame([(1, "https://e/data/0012/0000000001-20-000001.txt", ""), (2, "https://e/x", "FILED AS OF DATE:  20200304"), (3, "https://e/x", "On May 6, 2021 we"), (4, "https://e/2019/x", "none"), (5, "https://e/x", "none")], "id long, url string, head string")
     filings = spark.createDataFrame([(12, "0000000001-20-000001", "2020-01-02")], "cik long, accession string, filed string")
     assert {r.id: (r.date, r.basis) for r in recovery.document_dates(docs, filings).collect()} == {1: ("2020-01-02", "filing_metadata"), 2: ("2020-03-04", "filing_header"), 3: ("2021-05-06", "head"), 4: ("2019", "url_year"), 5: (None, None)}
@@ -29,6 +29,6 @@ def test_priorities_ranking_and_dates(spark):
 def test_families_routes_and_filter(spark):
     rows = spark.createDataFrame([("www.justice.gov",), ("x.example",)], "host string").select(recovery.family(F.col("host")).alias("f"))
     got = rows.select("f", recovery.tier(F.lit("u"), F.col("f")).alias("t"), recovery.routes(F.col("f")).alias("r")).collect()
-    assert [(r.f, r.t, r.r) for r in got] == [("doj", 1, ["same_agency_probe", "web_archive"]), ("other", 2, ["web_archive"])]
+    assert [(r.f, r.t, r.r) for r in got] == [("doj", 2, ["same_agency_retry_probe", "web_archive", "later_ordinary_retry"]), ("other", 2, ["web_archive", "later_ordinary_retry"])]
     seen = spark.createDataFrame([("REAL_CONTENT", 200), ("ERROR_RESPONSE", 404), ("ERROR_RESPONSE", 403), ("BOT_CHALLENGE", None)], "kind string, status int")
     assert recovery.to_observe(seen).count() == 2

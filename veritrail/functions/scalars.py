@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Legal suffixes and what they are written as in graph keys.
-SUFFIXES = {
-    "incorporated": "inc", "corporation": "corp", "company": "co", "limited": "ltd", "limited liability company": "llc",
-    "l l c": "llc", "l p": "lp", "l l p": "llp", "p l c": "plc", "s a": "sa",
-}
+# Words of a graph key and what they are written as, in the order in which they are replaced.
+KEY_WORDS = (
+    (r"\bincorporated\b", "inc"), (r"\blimited\b", "ltd"), (r"\bcorporation\b", "corp"), (r"\bcompany\b", "co"), (r"\bcompanies\b", "cos"),
+    (r"\bl\s?l\s?c\b", "llc"), (r"\bl\s?p\b", "lp"), (r"\bnational association\b", "na"), (r"\bn\s?a\b", "na"), (r"^the\s+", ""),
+)
 SUFFIX_WORDS = ("inc", "corp", "co", "ltd", "llc", "lp", "llp", "plc", "sa", "gmbh", "ag", "bv", "nv")
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
@@ -61,42 +61,88 @@ def visible_text(page: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"\s+", " "))
 
 
+# Sizes in bytes below which a band ends.
+SIZE_BANDS = ((10_240, "<10KB"), (102_400, "10-100KB"), (1_048_576, "100KB-1MB"), (10_485_760, "1-10MB"), (104_857_600, "10-100MB"))
+
+
 def size_bucket(n: Column) -> Column:
-    steps = ((0, "EMPTY"), (1_023, "UNDER_1K"), (10_239, "UNDER_10K"), (102_399, "UNDER_100K"), (1_048_575, "UNDER_1M"), (10_485_759, "UNDER_10M"))
-    out = F.when(n.isNull(), F.lit("UNKNOWN"))
-    for most, name in steps:
-        out = out.when(n <= most, F.lit(name))
-    return out.otherwise(F.lit("10M_AND_MORE"))
+    out = F.when(n.isNull(), F.lit("unknown"))
+    for below, name in SIZE_BANDS:
+        out = out.when(n < below, F.lit(name))
+    return out.otherwise(F.lit(">=100MB"))
+
+
+# First bytes in hex and the type they tell.
+MAGIC = (
+    ("255044462D", "application/pdf"), ("504B0304", "application/zip"), ("504B0506", "application/zip"), ("1F8B", "application/gzip"), ("28B52FFD", "application/zstd"), ("25215053", "application/postscript"),
+    ("89504E47", "image/png"), ("FFD8FF", "image/jpeg"), ("47494638", "image/gif"), ("49492A00", "image/tiff"), ("4D4D002A", "image/tiff"), ("D0CF11E0", "application/x-ole-storage"), ("7B5C727466", "application/rtf"),
+)
 
 
 def sniff_mime(content: Column) -> Column:
-    """MIME type from the first bytes (binary column), the first rule that holds."""
+    """MIME type from the first 4,096 bytes (binary column), the first rule that holds; null content has none, empty content is "empty".
+
+    An opening brace or bracket is JSON if the head parses, or if a brace is followed by a quote within 64 bytes (the head of a larger document).
+    """
     head = F.substring(content, 1, 4096)
-    magic = (
-        ("25504446", "application/pdf"), ("89504E470D0A1A0A", "image/png"), ("FFD8FF", "image/jpeg"), ("474946383761", "image/gif"), ("474946383961", "image/gif"),
-        ("504B0304", "application/zip"), ("504B0506", "application/zip"), ("1F8B", "application/gzip"), ("377ABCAF271C", "application/x-7z-compressed"), ("D0CF11E0A1B11AE1", "application/x-ole-storage"), ("49492A00", "image/tiff"), ("4D4D002A", "image/tiff"),
-    )
-    text = F.lower(F.ltrim(F.decode(head, "ISO-8859-1")))
-    out = F.when(F.octet_length(content) == 0, F.lit("application/x-empty"))
-    for digits, mime in magic:
+    text = F.decode(head, "ISO-8859-1")
+    low, stripped = F.lower(text), F.regexp_replace(text, r"^[\s\x0B]+", "")
+    start = F.lower(F.substring(stripped, 1, 256))
+    parses = F.try_parse_json(F.try_validate_utf8(head.cast("string"))).isNotNull()
+    out = F.when(content.isNull(), F.lit(None)).when(F.octet_length(content) == 0, F.lit("empty"))
+    for digits, mime in MAGIC:
         out = out.when(F.hex(F.substring(content, 1, len(digits) // 2)) == digits, F.lit(mime))
-    out = out.when(text.startswith("<?xml"), F.lit("application/xml")).when(text.startswith("<!doctype html") | text.contains("<html"), F.lit("text/html"))
-    out = out.when(text.startswith("{") | text.startswith("["), F.lit("application/json"))
+    out = out.when(start.startswith("<?xml"), F.when(low.contains("<html"), F.lit("text/html")).otherwise(F.lit("application/xml")))
+    out = out.when(start.startswith("<!doctype html") | start.contains("<html"), F.lit("text/html"))
+    out = out.when(stripped.startswith("{") & (parses | F.substring(stripped, 1, 64).contains('"')), F.lit("application/json")).when(stripped.startswith("[") & parses, F.lit("application/json"))
     return out.otherwise(F.lit("text/plain"))
 
 
+# Claimed and sniffed types that do not conflict.
+COMPATIBLE = (
+    ("text/html", "text/plain"), ("text/plain", "text/html"), ("application/xhtml+xml", "text/html"), ("text/xml", "application/xml"), ("application/xml", "text/html"), ("application/json", "text/plain"), ("text/plain", "application/json"),
+    ("text/csv", "text/plain"), ("application/octet-stream", "application/zip"), ("application/x-zip-compressed", "application/zip"), ("binary/octet-stream", "application/zip"),
+)
+
+
+def mime_conflict(present: Column, claimed: Column, sniffed: Column) -> Column:
+    """Whether an object that is there was claimed to be something that it isn't; what is unknown does not conflict."""
+    pair = F.concat_ws(" ", claimed, sniffed)
+    known = (F.coalesce(claimed, F.lit("")) != "") & (F.coalesce(sniffed, F.lit("")) != "")
+    return F.coalesce(present & known & (claimed != sniffed) & ~pair.isin(*(f"{a} {b}" for a, b in COMPATIBLE)), F.lit(False))
+
+
+# Source family of a host, by its exact name.
+HOST_FAMILIES = {
+    "www.fincen.gov": "FINCEN", "bsaefiling.fincen.gov": "FINCEN", "bsaaml.ffiec.gov": "FFIEC", "www.ffiec.gov": "FFIEC", "home.treasury.gov": "TREASURY", "oig.treasury.gov": "TREASURY_OIG", "www.sec.gov": "SEC",
+    "www.justice.gov": "DOJ", "vault.fbi.gov": "FBI_VAULT", "www.occ.gov": "OCC", "www.fdic.gov": "FDIC", "oversight.house.gov": "CONGRESS_OVERSIGHT", "judiciary.house.gov": "CONGRESS_JUDICIARY", "www.congress.gov": "CONGRESS_GOV",
+    "www.federalregister.gov": "FEDERAL_REGISTER", "www.govinfo.gov": "GOVINFO", "www.gao.gov": "GAO", "www.federalreserve.gov": "FEDERAL_RESERVE", "www.ncua.gov": "NCUA",
+}
+
+
+def host_family(host_col: Column, families: dict[str, str] | None = None, other: str = "OTHER_GOV") -> Column:
+    """Source family by a host's exact name."""
+    pairs = F.create_map(*(F.lit(x) for kv in (families or HOST_FAMILIES).items() for x in kv))
+    return F.coalesce(F.try_element_at(pairs, F.coalesce(host_col, F.lit(""))), F.lit(other))
+
+
 def graph_key(name: Column) -> Column:
-    """Key of a graph node: lower case, punctuation to spaces, legal suffixes in one form, no leading article."""
-    k = F.trim(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"[^a-z0-9&]+", " "))
-    for long, short in SUFFIXES.items():
-        k = F.regexp_replace(k, rf"(^| ){long}$", f"$1{short}")
-    return F.trim(F.regexp_replace(k, r"^the ", ""))
+    """Key of a graph node: white space collapsed, lower case, full stops, commas and apostrophes dropped, legal forms in one spelling, no leading article."""
+    k = F.lower(F.btrim(F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", " "), F.lit(" ,;:.")))
+    k = F.regexp_replace(k, "[.,’']", "")
+    for pattern, short in KEY_WORDS:
+        k = F.regexp_replace(k, pattern, short)
+    return k
 
 
 def term_key(name: Column) -> Column:
-    """Key of a defined term: as graph_key, but quotes go without a space and suffixes are kept as written."""
-    k = F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[\"'“”‘’]", "")
-    return F.trim(F.regexp_replace(F.trim(F.regexp_replace(k, r"[^a-z0-9&]+", " ")), r"^the ", ""))
+    """Key of a defined term: as graph_key, but double quotes go too, and four of the rarer forms stay as they are."""
+    k = F.lower(F.btrim(F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", " "), F.lit(" ,;:.")))
+    k = F.regexp_replace(k, "[.,’'\"“”‘]", "")
+    for pattern, short in KEY_WORDS:
+        if short not in ("cos", "lp", "na"):
+            k = F.regexp_replace(k, pattern, short)
+    return k
 
 
 def registry_key(name: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritrail.functions import lexicon
+from veritrail.functions.scalars import mime_conflict
 from veritrail.operators.components import connected_components
 from veritrail.session import cut, once, ship_package
 
@@ -20,6 +21,7 @@ SKETCH, BANDS, ROWS, MIN_JACCARD, MAX_BUCKET = 64, 16, 4, 0.85, 200
 #: Of a crowded bucket: sketches that all others are compared with; parts of a sketch, more than two sketches of MIN_JACCARD can differ in.
 PIVOTS, PARTS = 8, 11
 MAX_SPANS = 40
+SALTS = 8
 
 
 def line_key(line: Column) -> Column:
@@ -37,11 +39,21 @@ def boilerplate(texts: DataFrame, least_docs: int = 20) -> DataFrame:
 
 
 def suppressed(texts: DataFrame, model: DataFrame) -> DataFrame:
-    """texts with searchable: the text without its host's boilerplate lines; a host's keys travel as one array."""
-    per_host = model.groupBy("host").agg(F.collect_set("line_key").alias("keys"))
-    joined = texts.join(per_host, "host", "left")
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains("keys", line_key(x)), F.lit(False)))
-    return joined.withColumn("searchable", F.when(F.col("keys").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).drop("keys")
+    """texts with searchable: the text without its host's boilerplate lines.
+
+    Lines meet the model by (host, line), each line of the model in SALTS copies, so that a line of a large host does not fill one task; texts meet the positions they
+    lose by a key of the row.
+    """
+    me = [F.xxhash64("id", "host", "text"), F.xxhash64(F.lit(1), "id", "host", "text")]
+    keyed = texts.select("*", me[0].alias("_k1"), me[1].alias("_k2"))
+    lines = keyed.select("_k1", "_k2", "host", F.posexplode(F.transform(F.split("text", "\n"), line_key)).alias("pos", "line_key")).where("line_key is not null")
+    lines = lines.withColumn("salt", F.pmod(F.xxhash64("_k1", "pos"), F.lit(SALTS)))
+    known = model.select("host", "line_key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    dropped = lines.join(known, ["host", "line_key", "salt"], "left_semi").groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set("pos")).alias("_dropped"))
+    split = F.split("text", "\n")
+    gaps = F.zip_with(F.concat(F.array(F.lit(-1)), F.col("_dropped")), F.concat(F.col("_dropped"), F.array(F.size(split))), lambda a, b: F.slice(split, a + 2, b - a - 1))
+    rebuilt = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(gaps), "\n"))
+    return keyed.join(dropped, ["_k1", "_k2"], "left").withColumn("searchable", rebuilt).select(*texts.columns, "searchable")
 
 
 def sketches(texts: DataFrame) -> DataFrame:
@@ -66,9 +78,11 @@ def near_duplicates(texts: DataFrame) -> DataFrame:
     banded = firsts.select(F.col("first").alias("id"), "sketch", F.posexplode(parts).alias("band", "value"))
     sizes = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     alike = F.size(F.array_intersect("sketch", "other")) / F.size(F.array_union("sketch", "other")) >= MIN_JACCARD
-    met = banded.join(sizes.where(F.col("n") <= MAX_BUCKET).select("band", "value"), ["band", "value"])
-    other = met.select(F.col("id").alias("b"), F.col("sketch").alias("other"), "band", "value")
-    pairs = met.withColumnRenamed("id", "a").join(other, ["band", "value"]).where("a < b").where(alike).select("a", "b").distinct()
+    met = banded.join(sizes.where(F.col("n") <= MAX_BUCKET).select("band", "value"), ["band", "value"]).select("id", "band", "value")
+    candidates = met.withColumnRenamed("id", "a").join(met.withColumnRenamed("id", "b"), ["band", "value"]).where("a < b").select("a", "b").distinct()
+    # only ids meet in the bands; each different pair then fetches its two sketches once
+    left_sketch, right_sketch = firsts.select(F.col("first").alias("a"), "sketch"), firsts.select(F.col("first").alias("b"), F.col("sketch").alias("other"))
+    pairs = candidates.join(left_sketch, "a").join(right_sketch, "b").where(alike).select("a", "b")
     links = cut(same.unionByName(pairs))
     crowded = cut(banded.join(sizes.where(F.col("n") > MAX_BUCKET).select("band", "value"), ["band", "value"]))
     if not crowded.isEmpty():
@@ -127,17 +141,53 @@ def spans(texts: DataFrame) -> DataFrame:
                         seq += 1
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    words = "|".join(sorted({t.split("/")[0].split(" ")[0].rstrip("*?")[:6] for terms in lexicon.SPANS.values() for t in terms.values() if not t.startswith("{")}))
-    maybe = texts.select("id", "text").where(F.lower("text").rlike(rf"\$|%|{words}|own|sharehold|sole|majority|control|subsid|affil|shell|nomin|wire|transf|sent|merg|dissol|acquir|fund|incorp"))
-    return maybe.mapInPandas(search, schema)
+    return texts.select("id", "text").where(F.col("text").rlike(lexicon.SPAN_HINT)).mapInPandas(search, schema)
 
 
 def classes(texts: DataFrame) -> DataFrame:
-    """id and the document classes whose term the text holds, UNCLASSIFIED if there are none."""
-    found = F.array_compact(F.array(*(F.when(F.col("text").rlike("(?i)" + p.pattern), F.lit(name)) for name, p in lexicon.class_patterns())))
+    """id and the document classes whose pattern the text holds, UNCLASSIFIED if there are none."""
+    found = F.array_compact(F.array(*(F.when(F.col("text").rlike(p), F.lit(name)) for name, p in lexicon.class_patterns())))
     return texts.select("id", found.alias("classes")).select("id", F.when(F.size("classes") > 0, F.col("classes")).otherwise(F.array(F.lit("UNCLASSIFIED"))).alias("classes"))
 
 
+def buckets(candidates: DataFrame) -> DataFrame:
+    """candidates(categories array, terms array, provenance, family, classes array) with a row for each bucket they fall in; buckets overlap."""
+    has = lambda c: F.coalesce(F.array_contains("categories", c), F.lit(False))
+    term = lambda *names: F.coalesce(F.arrays_overlap("terms", F.array(*(F.lit(n) for n in names))), F.lit(False))
+    tests = {
+        "ownership": has("OWNERSHIP_EXPLICIT") | ((F.col("categories") == F.array(F.lit("STRUCTURED"))) & term("entity_owned_by", "pct_of_entity")), "control": has("CONTROL_EXPLICIT"),
+        "parent-subsidiary": has("PARENT_SUBSIDIARY") | term("entity_subsidiary_of"), "shell-structure": has("SHELL_NOMINEE"), "financial-flow": has("FINANCIAL_FLOW"), "boi-cta": has("BOI_CTA"), "sar-bsa": has("SAR_BSA"),
+        "congressional": F.coalesce(F.col("provenance") == "CONGRESS", F.lit(False)) | F.coalesce(F.col("family").startswith("CONGRESS"), F.lit(False)) | F.coalesce(F.array_contains("classes", "CONGRESSIONAL_EVIDENCE"), F.lit(False)),
+    }
+    return candidates.withColumn("bucket", F.explode(F.array_compact(F.array(*(F.when(t, F.lit(b)) for b, t in tests.items())))))
+
+
+def numbered_groups(groups: DataFrame) -> DataFrame:
+    """near_duplicates() as group ids ndg-00001 on, in order of the least member, with the number of members; members stay rows."""
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = sizes.select("group", "n", F.format_string("ndg-%05d", F.row_number().over(Window.orderBy("group"))).alias("group_id"))
+    return groups.join(firsts, "group").select("group_id", "id", "n")
+
+
+def tiers_sample(rows: DataFrame, key: str, priority: str, seed: str, n: int = 25) -> DataFrame:
+    """n rows each of the first tenth, the middle third and the last tenth by priority (all rows where a tier would be empty), by the hash of seed and key.
+
+    Ranks are exact; ranges of priority are ranked side by side, and only the sizes of ranges are added up in one task.
+    """
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut(rows.repartitionByRange(parts, F.desc(priority), key).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    total = dealt.count()
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(F.desc(priority), key)) - 1
+    ranked = dealt.join(F.broadcast(before), "_part").withColumn("_place", place)
+    tenth, third = total // 10, total // 3
+    tests = {"high": F.col("_place") < (tenth or total), "medium": F.col("_place").between(third, 2 * total // 3 - 1) if 2 * total // 3 > third else F.lit(True), "low": F.col("_place") >= (total - tenth if tenth else 0)}
+    tiered = ranked.select(*rows.columns, F.explode(F.array_compact(F.array(*(F.when(t, F.lit(k)) for k, t in tests.items())))).alias("tier"))
+    turn = F.row_number().over(Window.partitionBy("tier").orderBy(F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256), key))
+    return tiered.withColumn("place", turn).where(F.col("place") <= n)
+
+
 def doc_priority(ranked: DataFrame, n: int = 10) -> DataFrame:
     """Per id the sum of its n best span priorities, rounded half even."""
     place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("priority"), "seq"))
@@ -168,15 +218,23 @@ def seeded_sample(rows: DataFrame, strata: str, key: str, seed: str, n: int) ->
 
 
 def inventory(objects: DataFrame, retrievals: DataFrame, with_urls: bool = False) -> DataFrame:
-    """Per hash: size, presence, number of retrievals, the earliest url, whether there are several.
+    """Per hash: size, presence, number of retrievals, the earliest url, whether there are several and whether one of them had another hash too.
 
-    with_urls adds the distinct urls, each with its earliest time, as an array in order of time: only for logs in which no object has very many urls.
+    If objects has sniffed and retrievals has content_type: the claimed type of the earliest retrieval and mime_conflict. with_urls adds the distinct urls, each with its
+    earliest time, as an array in order of time: only for logs in which no object has very many urls.
     """
     good = retrievals.where("coalesce(sha256, '') <> ''")
-    per_url = good.groupBy("sha256", "url").agg(F.count(F.lit(1)).alias("n"), F.min("retrieved_at").alias("first"))
-    aggregates = [F.sum("n").alias("retrieval_count"), F.count(F.lit(1)).alias("n_urls"), F.min(F.struct("first", "url")).alias("primary")]
+    typed = "content_type" in retrievals.columns and "sniffed" in objects.columns
+    claimed = F.lower(F.trim(F.split_part(F.coalesce("content_type", F.lit("")), F.lit(";"), F.lit(1)))) if typed else F.lit("")
+    per_url = good.groupBy("sha256", "url").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("retrieved_at").alias("first"), claimed.alias("claimed"))).alias("at")).select("sha256", "url", "n", "at.first", "at.claimed")
+    versions = per_url.groupBy("url").agg((F.count(F.lit(1)) > 1).alias("several"))
+    per_url = per_url.join(versions, "url")
+    aggregates = [F.sum("n").alias("retrieval_count"), F.count(F.lit(1)).alias("n_urls"), F.min(F.struct("first", "url", "claimed")).alias("primary"), F.bool_or("several").alias("url_has_multiple_versions")]
     if with_urls:
         aggregates.append(F.array_sort(F.collect_list(F.struct(F.col("first").alias("retrieved_at"), "url"))).alias("urls"))
     grouped = per_url.groupBy("sha256").agg(*aggregates).join(objects, "sha256", "left")
-    columns = ["sha256", "size_bytes", F.col("size_bytes").isNotNull().alias("present"), F.col("primary.url").alias("url"), "retrieval_count", (F.col("n_urls") > 1).alias("multi_url_object")]
+    present = F.col("size_bytes").isNotNull()
+    columns = ["sha256", "size_bytes", present.alias("present"), F.col("primary.url").alias("url"), "retrieval_count", (F.col("n_urls") > 1).alias("multi_url_object"), "url_has_multiple_versions"]
+    if typed:
+        columns += [F.nullif(F.col("primary.claimed"), F.lit("")).alias("claimed_content_type"), F.col("sniffed").alias("sniffed_mime"), mime_conflict(present, F.col("primary.claimed"), F.col("sniffed")).alias("mime_conflict")]
     return grouped.select(*columns, *(["urls"] if with_urls else []))

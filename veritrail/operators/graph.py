@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritrail.functions.scalars import SUFFIX_WORDS, acronym, graph_key
+from veritrail.operators.components import connected_components
 from veritrail.session import cut
 
 # Weight of each posture of evidence.
@@ -34,8 +35,10 @@ def edge_weight(posture: Column, confidence: Column) -> Column:
 
 
 def collapse_pairs(edges: DataFrame) -> DataFrame:
-    """Parallel edges to one hop: the best weight and the number of distinct documents."""
-    return edges.groupBy("subject_id", "object_id").agg(F.max("weight").alias("weight"), F.count_distinct("source_sha256").alias("docs"), F.count(F.lit(1)).alias("evidence"))
+    """Parallel edges to one hop: the weight, posture, document, date and host of the best edge (ties: the first by document, date, host and posture), distinct documents, edges."""
+    best = F.min(F.struct((-F.col("weight")).alias("w"), "source_sha256", "source_date", "host", "evidentiary_posture"))
+    made = edges.groupBy("subject_id", "object_id").agg(best.alias("best"), F.count_distinct("source_sha256").alias("docs"), F.count(F.lit(1)).alias("evidence"))
+    return made.select("subject_id", "object_id", (-F.col("best.w")).alias("weight"), "best.evidentiary_posture", "best.source_sha256", "best.source_date", "best.host", "docs", "evidence")
 
 
 def paths(pairs: DataFrame, max_hops: int = SAFETY) -> DataFrame:
@@ -78,26 +81,33 @@ def reachability(pairs: DataFrame, max_rounds: int = SAFETY) -> DataFrame:
     return known.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("reached"))
 
 
-def centrality(edges: DataFrame) -> DataFrame:
-    """Per subject: objects held, evidence, postures, hosts, and the sum of the best weight of each pair."""
-    best = collapse_pairs(edges).groupBy("subject_id").agg(F.count(F.lit(1)).alias("held"), F.sum("weight").alias("weight"))
+def centrality(edges: DataFrame, reach: DataFrame | None = None) -> DataFrame:
+    """Per subject: objects held, evidence, postures, hosts, the sum of the best weight of each pair, and with reach(node, reached) how many nodes it reaches."""
+    best = edges.groupBy("subject_id", "object_id").agg(F.max("weight").alias("weight")).groupBy("subject_id").agg(F.count(F.lit(1)).alias("held"), F.sum("weight").alias("weight"))
     spread = edges.groupBy("subject_id").agg(F.count(F.lit(1)).alias("evidence"), F.count_distinct("evidentiary_posture").alias("postures"), F.count_distinct("host").alias("hosts"))
-    return best.join(spread, "subject_id")
+    made = best.join(spread, "subject_id")
+    return made if reach is None else made.join(reach.select(F.col("node").alias("subject_id"), "reached"), "subject_id", "left").withColumn("reached", F.coalesce("reached", F.lit(0)))
 
 
 def persistence(edges: DataFrame) -> DataFrame:
     """Relationships in two documents or more: first and last date, dated rows, postures in order."""
     grouped = edges.groupBy("subject_id", "assertion", "object_id").agg(
-        F.count_distinct("source_sha256").alias("docs"), F.min("source_date").alias("first_date"), F.max("source_date").alias("last_date"), F.count("source_date").alias("n_dated"), F.array_join(F.array_sort(F.collect_set("evidentiary_posture")), ",").alias("postures")
+        F.count_distinct("source_sha256").alias("docs"), F.min("source_date").alias("first_date"), F.max("source_date").alias("last_date"), F.count("source_date").alias("n_dated"), F.array_join(F.array_sort(F.collect_set("evidentiary_posture")), ",").alias("postures"),
+        F.array_join(F.array_sort(F.collect_set("host")), ",").alias("families"),
     )
     return grouped.where("docs >= 2")
 
 
+def claims(edges: DataFrame) -> DataFrame:
+    """(object_id, subject_id, source_sha256, source_date): a subject claims an object once for each document, at its earliest date."""
+    return edges.where(F.col("assertion").isin(*CLAIMS)).groupBy("object_id", "subject_id", "source_sha256").agg(F.min("source_date").alias("source_date"))
+
+
 def competing_claims(edges: DataFrame) -> DataFrame:
-    """Objects that two subjects or more claim in two documents or more. A subject claims once for each document, at its earliest date; claims are in order of date and subject."""
-    claims = edges.where(F.col("assertion").isin(*CLAIMS)).groupBy("object_id", "subject_id", "source_sha256").agg(F.min("source_date").alias("source_date"))
-    grouped = claims.groupBy("object_id").agg(F.count_distinct("subject_id").alias("subjects"), F.count_distinct("source_sha256").alias("docs"), F.array_sort(F.collect_list(F.struct("source_date", "subject_id"))).alias("claims"))
-    return grouped.where("subjects >= 2 and docs >= 2")
+    """Objects that two subjects or more claim in two documents or more: how many of each, the number of claims, the date and subject of the first. claims() has the claims themselves."""
+    made = claims(edges)
+    grouped = made.groupBy("object_id").agg(F.count_distinct("subject_id").alias("subjects"), F.count_distinct("source_sha256").alias("docs"), F.count(F.lit(1)).alias("n_claims"), F.min(F.struct("source_date", "subject_id")).alias("first"))
+    return grouped.where("subjects >= 2 and docs >= 2").select("object_id", "subjects", "docs", "n_claims", F.col("first.source_date").alias("first_date"), F.col("first.subject_id").alias("first_subject"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -195,6 +205,54 @@ def joined_components(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def first_seen_duplicates(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """rows with is_duplicate: an equal key came before in order."""
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return rows.withColumn("is_duplicate", place > 1)
+    """rows with is_duplicate: an equal key came before in order, which must tell the rows of a key apart. Nulls are keys like others. The first rows are grouped minima."""
+    at = F.struct(*order)
+    keyed = rows.withColumn("_key", F.struct(*key))
+    firsts = keyed.groupBy("_key").agg(F.min(at).alias("_first"))
+    met = keyed.alias("r").join(firsts.withColumnRenamed("_key", "_other"), F.col("_key").eqNullSafe(F.col("_other")))
+    return met.withColumn("is_duplicate", ~at.eqNullSafe(F.col("_first"))).select(*rows.columns, "is_duplicate")
+
+
+def chain_families(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """paths() with the hosts of its hops in order and whether they are of more than one family; pairs is collapse_pairs()."""
+    hops = found.withColumn("_id", F.xxhash64("path")).select("_id", "path", F.posexplode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("hop", "subject_id"))
+    hops = hops.withColumn("object_id", F.element_at("path", F.col("hop") + 2)).join(pairs.select("subject_id", "object_id", "host"), ["subject_id", "object_id"])
+    grouped = hops.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("hop", "host"))), lambda x: x["host"]).alias("families"))
+    return found.join(grouped, "path").withColumn("cross_family", F.size(F.array_distinct("families")) > 1)
+
+
+def alias_links(records: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Alias records(id, alias) to links (a, b, basis) with other nodes(id, kind, name) of the same kind whose key is that of the alias."""
+    keyed = nodes.select("id", "kind", graph_key(F.col("name")).alias("key"))
+    named = records.join(nodes.select("id", "kind"), "id").select(F.col("id").alias("a"), "kind", graph_key(F.col("alias")).alias("key"))
+    return named.join(keyed.withColumnRenamed("id", "b"), ["kind", "key"]).where("a <> b and key <> ''").select("a", "b", F.concat(F.lit("alias:"), F.col("key")).alias("basis"))
+
+
+def merge_typed(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nodes(id, kind) with survivor (the least id of the group), and on survivors merged_from and merge_basis in order. Links (a, b, basis) between kinds are no links."""
+    kinds = nodes.select("id", "kind")
+    same = links.join(kinds.withColumnRenamed("id", "a"), "a").join(kinds.select(F.col("id").alias("b"), F.col("kind").alias("_kind")), "b").where("kind = _kind")
+    placed = merged_ids(nodes, connected_components(same.select("a", "b")))
+    basis = same.join(placed.select(F.col("id").alias("a"), "survivor"), "a").groupBy("survivor").agg(F.array_sort(F.collect_set("basis")).alias("merge_basis"))
+    gone = placed.where("id <> survivor").groupBy("survivor").agg(F.array_sort(F.collect_set("id")).alias("merged_from"))
+    on = gone.join(basis, "survivor", "left").withColumnRenamed("survivor", "id")
+    return nodes.join(placed, "id").join(on, "id", "left")
+
+
+def rank_merge_candidates(pairs: DataFrame, central: DataFrame) -> DataFrame:
+    """pairs(a, b) of which one at least is central, by the greater weight of the two, then a and b: place 1 on."""
+    weight = lambda side: central.select(F.col("subject_id").alias(side), F.col("weight").alias(f"_{side}"))
+    worth = pairs.join(weight("a"), "a", "left").join(weight("b"), "b", "left").select("a", "b", F.greatest(F.coalesce("_a", F.lit(0.0)), F.coalesce("_b", F.lit(0.0))).alias("weight"))
+    return worth.where("weight > 0").orderBy(F.desc("weight"), "a", "b")
+
+
+def named_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """edges with the names of both ends from nodes(id, name), the id where there is none."""
+    a, b = nodes.select(F.col("id").alias("subject_id"), F.col("name").alias("_s")), nodes.select(F.col("id").alias("object_id"), F.col("name").alias("_o"))
+    made = edges.join(a, "subject_id", "left").join(b, "object_id", "left")
+    return made.withColumns({"subject_name": F.coalesce("_s", "subject_id"), "object_name": F.coalesce("_o", "object_id")}).drop("_s", "_o")
+
+
+def new_nodes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Names of nodes(kind, name) that are new, counted by kind."""
+    return new.select("kind", "name").distinct().join(old.select("kind", "name").distinct(), ["kind", "name"], "left_anti").groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

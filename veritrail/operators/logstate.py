@@ -24,22 +24,18 @@ def ledger(log: DataFrame) -> DataFrame:
     Order is retrieved_at, then seq. Failures are passed over when the previous success is looked for.
     """
     at = F.struct("retrieved_at", "seq")
-    hit = F.struct("retrieved_at", "seq", "sha256")
-    folded = log.groupBy("url").agg(
-        F.max(F.struct(at.alias("at"), succeeded().alias("ok"), F.col("http_status").alias("http_status"))).alias("latest"),
-        F.max(F.when(succeeded(), hit)).alias("last_ok"),
-        F.min(F.when(succeeded(), F.col("retrieved_at"))).alias("first_seen"),
-        F.max(F.when(succeeded(), F.col("retrieved_at"))).alias("last_seen"),
-    )
-    bounds = folded.where("last_ok is not null").select("url", F.struct("last_ok.retrieved_at", "last_ok.seq").alias("bound"))
-    before = log.where(succeeded()).join(bounds, "url").where(at < F.col("bound")).groupBy("url").agg(F.max(hit).alias("before"))
+    folded = log.groupBy("url").agg(F.max(F.struct(at.alias("at"), succeeded().alias("ok"), F.col("http_status").alias("http_status"))).alias("latest"), F.min(F.when(succeeded(), F.col("retrieved_at"))).alias("first_seen"), F.max(F.when(succeeded(), F.col("retrieved_at"))).alias("last_seen"))
+    # the two latest successes: a window of which each task keeps two rows a url before the shuffle
+    turn = F.row_number().over(Window.partitionBy("url").orderBy(F.desc("retrieved_at"), F.desc("seq"), F.desc("sha256")))
+    two = log.where(succeeded()).select("url", "retrieved_at", "seq", "sha256").withColumn("turn", turn).where("turn <= 2")
+    two = two.groupBy("url").agg(F.max(F.when(F.col("turn") == 1, F.struct("sha256"))).alias("last_ok"), F.max(F.when(F.col("turn") == 2, F.struct("sha256"))).alias("before"))
     ok = F.col("latest.ok")
     current = F.when(ok, F.col("last_ok.sha256"))
     previous = F.when(ok, F.col("before.sha256")).otherwise(F.col("last_ok.sha256"))
     change = (
         F.when(~ok & F.col("last_ok").isNull(), "UNAVAILABLE").when(~ok, "REMOVED").when(F.col("before").isNull(), "ADDED").when(previous != current, "MODIFIED").otherwise("UNCHANGED")
     )
-    return folded.join(before, "url", "left").select("url", previous.alias("previous_sha256"), current.alias("current_sha256"), "first_seen", "last_seen", F.col("latest.http_status").alias("http_status"), change.alias("change_type"))
+    return folded.join(two, "url", "left").select("url", previous.alias("previous_sha256"), current.alias("current_sha256"), "first_seen", "last_seen", F.col("latest.http_status").alias("http_status"), change.alias("change_type"))
 
 
 def latest_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -114,17 +110,81 @@ def top_within(counts: DataFrame, outer: str, inner: str, n: int) -> DataFrame:
     return counts.withColumn("place", place).where(F.col("place") <= n)
 
 
-def pack_hosts(sizes: list[tuple[str, int]], chunks: int) -> dict[str, int]:
-    """Hosts whole into chunks: the largest first, each into the emptiest chunk (ties: the first)."""
-    load = [0] * chunks
+#: Hosts that pack_hosts() takes at most, one row each.
+MAX_HOSTS = 1_000_000
+
+
+def pack_hosts(sizes: list[tuple[str, int]], target: int) -> dict[str, int]:
+    """Hosts whole into chunks of target lines: the largest first (ties by name), each into the first chunk that has room, else into a new one, which a host beyond target overfills."""
+    if len(sizes) > MAX_HOSTS:
+        raise ValueError(f"more than {MAX_HOSTS} hosts")
+    load: list[int] = []
     placed = {}
     for name, n in sorted(sizes, key=lambda x: (-x[1], x[0])):
-        k = load.index(min(load))
+        k = next((i for i, used in enumerate(load) if used + n <= target), len(load))
+        if k == len(load):
+            load.append(0)
         placed[name] = k
         load[k] += n
     return placed
 
 
+def host_metrics(discovered: DataFrame, log: DataFrame, non_content: DataFrame, sitemap_cap: int = 5000) -> DataFrame:
+    """Per host of any input: urls discovered, attempted and archived, captures without content, bytes, median and 95th percentile (cut to whole numbers) of the latest objects, ceiling_hit.
+
+    discovered(url, host, discovered_via), log(url, host, sha256, content_length, seq), non_content(host).
+    """
+    by_sitemap = F.coalesce(F.col("discovered_via"), F.lit("")).startswith("sitemap:")
+    found = discovered.groupBy("host").agg(F.count(F.lit(1)).alias("urls_discovered"), F.count(F.when(by_sitemap, 1)).alias("_by_sitemap"))
+    tried = log.groupBy("host", "url").agg(F.max(F.when(succeeded(), F.struct("seq", F.coalesce("content_length", F.lit(0)).alias("size")))).alias("ok"))
+    sized = tried.groupBy("host").agg(
+        F.count(F.lit(1)).alias("urls_attempted"), F.count("ok").alias("urls_archived"), F.coalesce(F.sum("ok.size"), F.lit(0)).alias("bytes"), F.round(F.percentile("ok.size", F.lit(0.5)), 6).cast("long").alias("median_object_bytes"),
+        F.round(F.percentile("ok.size", F.lit(0.95)), 6).cast("long").alias("p95_object_bytes"),
+    )
+    empty = non_content.groupBy("host").agg(F.count(F.lit(1)).alias("non_content_captures"))
+    # captures without content describe hosts, they don't add any
+    both = found.join(sized, "host", "full_outer").join(empty, "host", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    content = F.coalesce("urls_archived", F.lit(0)) - F.coalesce("non_content_captures", F.lit(0))
+    return both.select("host", *map(count, ("urls_discovered", "urls_attempted", "urls_archived", "non_content_captures")), content.alias("urls_with_content"), (F.coalesce("_by_sitemap", F.lit(0)) >= sitemap_cap).alias("ceiling_hit"), count("bytes"), "median_object_bytes", "p95_object_bytes")
+
+
+def first_source(*sources: DataFrame) -> DataFrame:
+    """Rows (url, ...) of several sources, the first source that knows a url wins; within one, the last row (by seq)."""
+    columns = [c for c in sources[0].columns if c not in ("url", "seq")]
+    ranked = [s.select("url", F.struct(F.lit(-k).alias("turn"), "seq", *columns).alias("r")) for k, s in enumerate(sources)]
+    every = ranked[0]
+    for s in ranked[1:]:
+        every = every.unionByName(s)
+    return every.groupBy("url").agg(F.max("r").alias("r")).select("url", *(F.col(f"r.{c}").alias(c) for c in columns), (-F.col("r.turn")).alias("source_number"))
+
+
+# Hosts of congress, and the provenance of all others.
+CONGRESS_HOSTS = ("oversight.house.gov", "judiciary.house.gov", "www.congress.gov")
+
+
+def provenance_of(host: Column) -> Column:
+    return F.when(host.isin(*CONGRESS_HOSTS), "CONGRESS").otherwise("GOV-PUBLIC")
+
+
+def capped_groups(rows: DataFrame, group: str, order: list[Column], caps: dict[str, int]) -> DataFrame:
+    """rows of each group up to its cap, in order; groups without a cap go. The cap is the feature."""
+    limit = F.create_map(*(F.lit(x) for kv in caps.items() for x in kv))
+    most = max(caps.values())
+    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("place") <= most)
+    return ranked.where(F.col("place") <= F.coalesce(F.try_element_at(limit, F.col(group)), F.lit(0)))
+
+
+def reason_counts(rows: DataFrame, column: str) -> DataFrame:
+    """How often each reason occurs, without what follows a semicolon."""
+    return rows.groupBy(F.split_part(F.col(column), F.lit(";"), F.lit(1)).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def duplicate_ids(rows: DataFrame, id_col: str) -> DataFrame:
+    """Ids that occur more than once, and how often."""
+    return rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def audit(objects: DataFrame) -> DataFrame:
     """objects(sha256, content): whether the content still has its hash."""
     return objects.select("sha256", (F.sha2("content", 256) == F.col("sha256")).alias("intact"))

@@ -7,9 +7,21 @@ from pyspark.sql import functions as F
 
 from veritrail.functions.scalars import parent_folder, short_id
 
-# Host marks of source families, in order, and routes of each family.
-FAMILIES = (("justice.gov", "doj"), ("federalregister", "federal_register"), ("govinfo", "govinfo"), ("congress.gov", "congress"), ("gao.gov", "gao"), ("sec.gov", "sec"), ("fincen", "fincen"), ("treasury", "treasury"))
-ROUTES = {"federal_register": ("official_api", "govinfo_mirror", "web_archive"), "doj": ("same_agency_probe", "web_archive"), "congress": ("govinfo_mirror", "web_archive"), "gao": ("govinfo_mirror", "web_archive")}
+# Host marks of source families, in order; marks of urls of the first two tiers; routes of each family.
+FAMILIES = (
+    ("justice.gov", "doj"), ("federalregister.gov", "federal_register"), ("govinfo.gov", "govinfo"), ("congress.gov", "congress"), ("gao.gov", "gao"), ("fincen.gov", "fincen"), ("treasury.gov", "treasury"), ("sec.gov", "sec"),
+    ("fbi.gov", "fbi"), ("archive.org", "web_archive"),
+)
+TIER0 = ("fincen", "beneficial-ownership", "beneficial_ownership", "corporate-transparency", "corporate_transparency", "/boi", "boi-", "bank-secrecy", "bank_secrecy", "boss-", "ctareporting")
+TIER1 = (
+    "money-launder", "moneylaunder", "enforcement", "opa/pr", "usao", "fraud", "forfeiture", "kleptocracy", "sanctions", "shell-compan", "criminal", "tax-division", "financial-crime", "fcpa", "bribery", "corruption", "oig",
+    "inspector-general",
+)
+ROUTES = {
+    "federal_register": ("federal_register_api", "govinfo_pdf", "web_archive", "later_ordinary_retry"), "doj": ("same_agency_retry_probe", "web_archive", "later_ordinary_retry"),
+    "congress": ("govinfo_package", "web_archive", "later_ordinary_retry"), "gao": ("same_agency_retry_probe", "gao_product_pdf", "web_archive", "later_ordinary_retry"),
+}
+OTHER_ROUTES = ("web_archive", "later_ordinary_retry")
 OPEN_STATES = ("PENDING", "RETRY_LATER")
 NON_CONTENT = ("BOT_CHALLENGE", "ACCESS_INTERSTITIAL", "APPLICATION_SHELL", "REDIRECT_STUB", "ERROR_RESPONSE", "UNKNOWN_RESPONSE")
 
@@ -23,12 +35,18 @@ def family(host: Column) -> Column:
 
 
 def tier(url: Column, source_family: Column) -> Column:
-    """0 for urls about ownership, 1 for families of record, else 2."""
-    return F.when(F.lower(url).rlike(r"ownership|beneficial|shell|fincen|boi"), 0).when(source_family.isin("doj", "federal_register", "congress", "gao"), 1).otherwise(2)
+    """0 for the families and urls of the core evidence, 1 for urls about enforcement, else 2."""
+    low = F.lower(F.coalesce(url, F.lit("")))
+    core, next_ = F.lit(False), F.lit(False)
+    for mark in TIER0:
+        core = core | low.contains(mark)
+    for mark in TIER1:
+        next_ = next_ | low.contains(mark)
+    return F.when(F.coalesce(source_family.isin("fincen", "federal_register"), F.lit(False)) | core, 0).when(next_, 1).otherwise(2)
 
 
 def routes(source_family: Column) -> Column:
-    out = F.array(F.lit("web_archive"))
+    out = F.array(*(F.lit(s) for s in OTHER_ROUTES))
     for name, steps in ROUTES.items():
         out = F.when(source_family == name, F.array(*(F.lit(s) for s in steps))).otherwise(out)
     return out
@@ -69,6 +87,34 @@ def carry(fresh: DataFrame, prior: DataFrame, columns: list[str]) -> DataFrame:
     return fresh.join(old, "url", "left").withColumns({c: F.coalesce(f"_{c}", c) for c in columns}).drop(*(f"_{c}" for c in columns))
 
 
+# Families and urls of high value.
+HIGH_VALUE_FAMILIES = ("FBI_VAULT", "DOJ", "CONGRESS_OVERSIGHT", "CONGRESS_JUDICIARY", "CONGRESS_GOV", "GAO", "GOVINFO", "TREASURY_OIG", "FINCEN", "SEC")
+HIGH_VALUE_URL = r"(?i)enforcement|complaint|indictment|exhibit|report|hearing|testimony|assessment|consent|order|vault"
+
+
+def high_value(source_family: Column, url: Column) -> Column:
+    return F.coalesce(source_family, F.lit("")).isin(*HIGH_VALUE_FAMILIES) | F.coalesce(url, F.lit("")).rlike(HIGH_VALUE_URL)
+
+
+def text_status(text: Column, is_pdf: Column) -> Column:
+    """Of an extracted text (pages end in form feeds): status, pages and whether it should be read by OCR. A PDF with under 200 characters, or under 20 a page, is NO_TEXT."""
+    bare = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", ""))
+    pages = F.regexp_count(F.coalesce(text, F.lit("")), F.lit("\f")) + 1
+    scanned = is_pdf & ((bare < 200) | (bare < 20 * pages))
+    status = F.when(scanned, "NO_TEXT").when(bare == 0, "EMPTY").otherwise("OK")
+    return F.struct(status.alias("status"), pages.cast("int").alias("pages"), scanned.alias("ocr_candidate"))
+
+
+def recovered(links: DataFrame) -> DataFrame:
+    """The urls that a link with a hash already recovers."""
+    return links.where((F.coalesce("sha256", F.lit("")) != "") & F.col("relation").isin("SAME_DOCUMENT", "OFFICIAL_MIRROR", "ARCHIVED_VERSION")).select(F.col("original_url").alias("url")).distinct()
+
+
+def save_queue(queue: DataFrame) -> DataFrame:
+    """The queue in the order in which it is stored: by tier (none counts as 9), then url."""
+    return queue.orderBy(F.coalesce("tier", F.lit(9)), "url")
+
+
 def ocr_priority(rows: DataFrame) -> DataFrame:
     """rows(url, family, pages, high_value): additive score, band and reasons; siblings are rows of the same parent folder."""
     parent = parent_folder(F.col("url"))
@@ -85,24 +131,45 @@ def ocr_priority(rows: DataFrame) -> DataFrame:
     return joined.select("url", score.alias("score"), F.when(score >= 6, "HIGH").when(score >= 3, "MEDIUM").otherwise("LOW").alias("band"), reasons.alias("reasons"))
 
 
+# Weights of provenance, family and category, and the patterns that are looked for in a span's paragraph.
+PROVENANCE_WEIGHTS = {"CONGRESS": 3, "COURT": 3, "FOIA": 2, "GOV-PUBLIC": 2}
+FAMILY_WEIGHTS = {"DOJ": 2, "SEC": 2, "CONGRESS_OVERSIGHT": 2, "CONGRESS_JUDICIARY": 2, "CONGRESS_GOV": 2, "GAO": 2, "FBI_VAULT": 2, "GOVINFO": 1, "FINCEN": 1, "TREASURY_OIG": 1}
+CATEGORY_WEIGHTS = {
+    "OWNERSHIP_EXPLICIT": 5, "PARENT_SUBSIDIARY": 4, "CONTROL_EXPLICIT": 4, "SHELL_NOMINEE": 4, "FINANCIAL_FLOW": 3, "BOI_CTA": 3, "SAR_BSA": 3, "FORMATION_DISSOLUTION": 2, "ROLE_TITLE": 2, "STRUCTURED": 5,
+}
+URL_HINT = r"(?i)press-release|enforcement|complaint|indictment|plea|sentenc|consent-order|cease|charged|convicted|guilty|opa/pr"
+DEFINITIONAL = "(?iU)\\b(?:means|is\\s+defined\\s+as|definition\\s+of|for\\s+purposes\\s+of\\s+this|the\\s+term\\s+[\"“'])"
+AMOUNT = r"(?iU)\$\s?[\d,]{3,}(?:\.\d{2})?|\b(?:million|billion)\b"
+PERCENT = r"(?iU)\b\d{1,3}(?:\.\d+)?\s?(?:%|percent)\b"
+DATE_NEARBY = r"(?iU)\b(?:19|20)\d{2}\b|\b(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2}\b"
+PERSON_NAME = r"(?U)\b[A-Z][a-z]{2,}\s+(?:[A-Z]\.?\s+)?[A-Z][a-z]{2,}\b"
+ENTITY_SUFFIX = r"(?U)\b(?:LLC|L\.L\.C\.|Inc\.?|Corp\.?|Corporation|Ltd\.?|LP|LLP|PLLC|Company|Co\.)\b"
+LEADERS = r"(?U)\.{5,}|\bTable\s+\d+:"
+WEIGHTS = ("provenance_weight", "family_weight", "category_weight")
+
+
 def rank_spans(spans: DataFrame) -> DataFrame:
     """spans(id, seq, provenance, family, url, category, matched_text, paragraph) with review_priority and the features that made it."""
-    person, entity = F.col("paragraph").rlike(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b"), F.col("paragraph").rlike(r"\b(?:Inc|LLC|Ltd|Corp|Company)\b")
-    weight = {"OWNERSHIP_EXPLICIT": 5, "STRUCTURED": 5, "PARENT_SUBSIDIARY": 4, "CONTROL_EXPLICIT": 4, "SHELL_NOMINEE": 4, "FINANCIAL_FLOW": 3, "BOI_CTA": 3, "SAR_BSA": 3, "FORMATION_DISSOLUTION": 2, "ROLE_TITLE": 2}
-    category = F.lit(1)
-    for name, points in weight.items():
-        category = F.when(F.col("category") == name, points).otherwise(category)
+
+    def weight(column: str, table: dict[str, int], other: int) -> Column:
+        return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), F.coalesce(column, F.lit(""))), F.lit(other))
+
+    paragraph, match = F.coalesce("paragraph", F.lit("")), F.coalesce("matched_text", F.lit(""))
+    entity = paragraph.rlike(ENTITY_SUFFIX)
+
+    def worth(test: Column, points: int) -> Column:
+        return F.when(test, points).otherwise(0)
+
     features = {
-        "provenance": F.when(F.col("provenance").isin("CONGRESS", "COURT"), 3).when(F.col("provenance").isin("FOIA", "GOV-PUBLIC"), 2).otherwise(0),
-        "family": F.when(F.col("family").isin("DOJ", "SEC", "GAO", "FBI_VAULT") | F.col("family").startswith("CONGRESS_"), 2).when(F.col("family").isin("GOVINFO", "FINCEN", "TREASURY_OIG"), 1).otherwise(0),
-        "category": category, "url_hint": F.when(F.lower("url").rlike("indict|complaint|owner|exhibit"), 2).otherwise(0), "percentage": F.when(F.col("paragraph").rlike(r"[0-9]\s?(?:%|percent)"), 3).otherwise(0), "amount": F.when(F.col("paragraph").rlike(r"\$\s?[0-9]"), 2).otherwise(0),
-        "person_entity": F.when(person & entity, 3).otherwise(0), "date": F.when(F.col("paragraph").rlike(r"\b(?:19|20)[0-9]{2}\b"), 1).otherwise(0), "definitional": F.when(F.lower("paragraph").rlike(r"\bmeans\b|\bdefined as\b"), -2).otherwise(0),
-        "short": F.when((F.length("matched_text") < 40) & ~F.col("matched_text").rlike(r"\b(?:Inc|LLC|Ltd|Corp)\b"), -1).otherwise(0), "leaders": F.when(F.col("paragraph").rlike(r"\.{5,}|Table [0-9]+:"), -2).otherwise(0),
+        "provenance_weight": weight("provenance", PROVENANCE_WEIGHTS, 0), "family_weight": weight("family", FAMILY_WEIGHTS, 0), "url_enforcement_hint": worth(F.coalesce("url", F.lit("")).rlike(URL_HINT), 2),
+        "category_weight": weight("category", CATEGORY_WEIGHTS, 1), "has_percentage": worth(paragraph.rlike(PERCENT), 3), "has_amount": worth(paragraph.rlike(AMOUNT), 2), "person_and_entity": worth(paragraph.rlike(PERSON_NAME) & entity, 3),
+        "has_date": worth(paragraph.rlike(DATE_NEARBY), 1), "definitional": worth(match.rlike(DEFINITIONAL) | F.left(paragraph, F.lit(200)).rlike(DEFINITIONAL), -2), "short_generic": worth((F.length(match) < 40) & ~entity, -1),
+        "table_or_toc": worth(paragraph.rlike(LEADERS), -2),
     }
     total = F.lit(0)
     for c in features.values():
-        total = total + F.coalesce(c, F.lit(0))
-    kept = F.map_filter(F.create_map(*(x for k, c in features.items() for x in (F.lit(k), F.coalesce(c, F.lit(0))))), lambda k, v: (v != 0) | k.isin("provenance", "family", "category"))
+        total = total + c
+    kept = F.map_filter(F.create_map(*(x for k, c in features.items() for x in (F.lit(k), c))), lambda k, v: (v != 0) | k.isin(*WEIGHTS))
     return spans.withColumn("review_priority", total.cast("double")).withColumn("ranking_features", kept)
 
 

@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 
 from veritrail.functions.scalars import html_title, url_extension, visible_text
 
-# Marks of protection vendors, phrases of challenge pages, marks of script-only pages.
+# Marks of protection vendors (the first vendor with any mark counts), phrases of challenge pages, marks of script-only pages.
 VENDORS = {
-    "akamai": ("_abck", "ak_bmsc", "akamai", "reference #"), "cloudflare": ("cf-chl", "cf_chl", "challenge-platform", "cloudflare"), "imperva": ("incapsula", "_incap_"),
-    "datadome": ("datadome",), "perimeterx": ("perimeterx", "px-captcha"),
+    "akamai": ("_abck", "bm-verify", "ak_bmsc", "bazadebezolkohpepadr", "/akam/", "akamai", "sec-cpt", "bm_sz"),
+    "cloudflare": ("cf-browser-verification", "__cf_chl", "challenge-platform", "checking your browser", "just a moment", "cf_chl_opt", "turnstile", "cdn-cgi/challenge"),
+    "perimeterx": ("_pxhd", "px-captcha", "perimeterx", "_pxvid"), "imperva": ("_incapsula_resource", "incapsula", "imperva"), "datadome": ("datadome",), "aws-waf": ("awswaf", "aws-waf-token", "challenge.js#"),
 }
-PHRASES = ("checking your browser", "enable javascript and cookies", "verify you are human", "access denied", "unusual traffic", "captcha", "request unsuccessful", "pardon our interruption")
+PHRASES = (
+    "access denied", "request unsuccessful", "pardon our interruption", "verify you are human", "verifying you are human", "are you a robot", "unusual traffic", "enable javascript and cookies to continue",
+    "please enable cookies", "captcha", "bot detection", "automated access to this site has been blocked", "your request has been blocked", "browser check", "checking if the site connection is secure",
+)
 SHELLS = ('id="root"', 'id="app"', "id='root'", "id='app'", "<app-root", 'id="__next"')
-INTERSTITIAL = r"(?i)^https?://[^/]*(?:unblock|block|validate|challenge|captcha|interstitial)\."
-DOCUMENTS = ("pdf", "xml", "json", "zip", "csv", "txt", "doc", "docx", "xls", "xlsx")
+#: Marks anywhere in a host.
+INTERSTITIAL = r"(?i)^https?://[^/?#]*(?:unblock\.|block\.|challenge\.|captcha\.|validate\.perfdrive\.com)"
+DOCUMENTS = ("pdf", "xml", "json", "zip", "csv", "xlsx", "docx")
+#: Markup of which an article page of the doj family has some.
+ARTICLE = ("<article", 'property="og:title"', "usa-banner", "node--", "field--name-body", "press-release")
+CONTENT = ("REAL_CONTENT", "THIN_REAL_CONTENT")
 CHALLENGED = ("BOT_CHALLENGE", "ACCESS_INTERSTITIAL", "APPLICATION_SHELL", "REDIRECT_STUB")
 
 
@@ -47,7 +55,7 @@ def features(responses: DataFrame) -> DataFrame:
     )
 
 
-def classify(responses: DataFrame) -> DataFrame:
+def classify(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """url, kind, confidence, vendor, signals in order of the rules."""
     f = features(responses)
     status, n, html = F.col("status"), F.col("text_bytes"), F.col("is_html")
@@ -72,11 +80,65 @@ def classify(responses: DataFrame) -> DataFrame:
             F.when((F.col("extension") == "pdf") & F.col("is_pdf"), F.lit("pdf_magic_bytes")), F.when((F.col("extension") == "pdf") & ~F.col("is_pdf"), F.lit("expected_pdf_not_pdf")), F.when(pattern, F.lit("host_challenge_pattern")),
         )
     )
-    return f.select("url", kind.alias("kind"), confidence.alias("confidence"), "vendor", signals.alias("signals"), "text_bytes")
+    return f.select(*(keep or []), "url", kind.alias("kind"), confidence.alias("confidence"), "vendor", signals.alias("signals"), "text_bytes")
+
+
+def gate_content(responses: DataFrame) -> DataFrame:
+    """classify() with ok, by source family: a PDF must have its signature, a thin doj page some article markup, a federal_register API answer JSON; who fails is no content.
+
+    responses needs family (see recovery.family) besides the columns of classify().
+    """
+    keyed = responses.withColumn("_row", F.monotonically_increasing_id())
+    body, low = F.coalesce("body", F.lit("")), F.lower(F.coalesce("body", F.lit("")))
+    html, json_like = F.lower(F.coalesce("content_type", F.lit(""))).contains("html"), F.col("url").endswith(".json") | F.lower(F.coalesce("content_type", F.lit(""))).contains("json")
+    promised = url_extension(F.col("url")) == "pdf"
+    plain = (F.col("family") == "doj") & html & ~_any(low, ARTICLE)
+    checks = [
+        (promised & ~body.startswith("%PDF-"), "family_check:pdf_signature_missing", True), (~promised & plain, "family_check:doj_article_markup_missing", F.octet_length(visible_text(body)) < 600),
+        (~promised & (F.col("family") == "federal_register") & json_like & ~F.ltrim(low).rlike(r"^[\{\[]"), "family_check:fr_api_not_json", True),
+    ]
+    failed, added = F.lit(False), []
+    for test, signal, fatal in checks:
+        test = F.coalesce(test, F.lit(False))
+        added.append(F.when(test, F.lit(signal)))
+        failed = failed | (test & fatal)
+    content = F.col("kind").isin(*CONTENT)
+    found = classify(keyed.select("*"), keep=["_row"]).join(keyed.select("_row", failed.alias("_failed"), F.array_compact(F.array(*added)).alias("_added")), "_row")
+    return found.select(
+        "url", F.when(content & F.col("_failed"), "UNKNOWN_RESPONSE").otherwise(F.col("kind")).alias("kind"), "confidence", "vendor",
+        F.when(content, F.concat("signals", "_added")).otherwise(F.col("signals")).alias("signals"), (content & ~F.col("_failed")).alias("ok"),
+    )
+
+
+def classify_unread(records: DataFrame) -> DataFrame:
+    """records(url, content_type, content_length, family, host_pattern) whose bytes are not at hand: url, kind, confidence, signals."""
+    html = F.lower(F.coalesce("content_type", F.lit(""))).contains("html")
+    small = html & F.col("content_length").between(1, 4095)
+    pattern = F.coalesce("host_pattern", F.lit(False))
+    size = F.concat(F.lit("small_html_success:"), F.col("content_length").cast("string"))
+    base = F.array_compact(F.array(F.lit("detection_mode:metadata_only"), F.when(pattern, F.lit("host_challenge_pattern"))))
+    rules = [
+        (pattern & small, "BOT_CHALLENGE", "MEDIUM", [size, F.lit("expected_document_body_missing")]), ((F.col("family") == "gao") & small, "UNKNOWN_RESPONSE", "LOW", [size, F.lit("host_size_outlier")]),
+        (F.lower("url").endswith(".pdf") & html, "UNKNOWN_RESPONSE", "LOW", [F.lit("expected_document_got_html")]),
+    ]
+    kind, confidence, signals = F.lit("REAL_CONTENT"), F.lit("LOW"), base
+    for test, k, c, more in reversed(rules):
+        test = F.coalesce(test, F.lit(False))
+        kind, confidence, signals = F.when(test, F.lit(k)).otherwise(kind), F.when(test, F.lit(c)).otherwise(confidence), F.when(test, F.concat(base, F.array(*more))).otherwise(signals)
+    return records.select("url", kind.alias("kind"), confidence.alias("confidence"), signals.alias("signals"))
+
+
+def after_fetch(route: Column, kind: Column, found: Column) -> Column:
+    """The state of a queued document after a route was tried: found tells whether the archive has a capture (null: the lookup said nothing, the state stays)."""
+    content = kind.isin(*CONTENT)
+    return F.when((route == "same_agency_probe") & content, "RECOVERED_SAME_AGENCY").when((route == "web_archive") & ~found, "NO_WEB_ARCHIVE_CAPTURE").when(
+        (route == "web_archive") & found, F.when(content, "RECOVERED_WEB_ARCHIVE").otherwise("WEB_ARCHIVE_NON_CONTENT")
+    )
 
 
 def fingerprint(kind: Column, vendor: Column, signals: Column) -> Column:
-    return F.concat_ws("|", kind, F.concat(F.lit("vendor:"), vendor), F.array_join(F.array_sort(signals), ","))
+    """kind|vendor:v|signals in order, all joined by bars."""
+    return F.concat_ws("|", kind, F.concat(F.lit("vendor:"), vendor), F.array_join(F.array_sort(signals), "|"))
 
 
 def host_anomalies(log: DataFrame, least: int = 50, ratio: float = 0.9, largest: int = 4096) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.functions import scalars
+from veritrail.functions import lexicon, scalars
 from veritrail.operators import corpus, evidence, respond
 from veritrail.plans.log_queries import HOST_SQL, LOG_SQL, log, table
 
@@ -37,8 +37,17 @@ def size_buckets(spark, sf_dir):
     return table(spark, sf_dir, "pages").groupBy(scalars.size_bucket(F.octet_length("html")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: First bytes that stand before a page, in hex, and what they make of it.
+PREFIXES = (
+    ("", "text/html"), ("255044462D", "application/pdf"), ("504B0304", "application/zip"), ("1F8B", "application/gzip"), ("28B52FFD", "application/zstd"), ("25215053", "application/postscript"), ("89504E47", "image/png"), ("FFD8FF", "image/jpeg"), ("47494638", "image/gif"), ("49492A00", "image/tiff"),
+    ("D0CF11E0", "application/x-ole-storage"), ("7B5C727466", "application/rtf"), ("3C3F786D6C3F3E", "text/html"), ("0A2020", "text/html"),
+)
+
+
 def mime_sniff(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 5 == 0, F.unhex(F.lit("255044462D312E34"))).when(F.col("page_id") % 5 == 1, F.lit(' {"a": 1}').cast("binary")).when(F.col("page_id") % 5 == 2, F.lit("plain").cast("binary")).otherwise(F.col("html").cast("binary")).alias("content"))
+    """Every page as it is or after one of the first bytes of another type."""
+    prefix = F.unhex(F.element_at(F.array(*(F.lit(x) for x, _ in PREFIXES)), (F.col("page_id") % len(PREFIXES) + 1).cast("int")))
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat(prefix, F.col("html").cast("binary")).alias("content"))
     return p.groupBy(scalars.sniff_mime(F.col("content")).alias("mime")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -116,15 +125,76 @@ def document_classes(spark, sf_dir):
     return corpus.classes(searchable).select(F.explode("classes").alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Sentences that are put after a document, by its id, and the spans that are in them: category, term, start, end.
+PLANTED = (
+    ("The firm is a wholly-owned subsidiary of another.", (("PARENT_SUBSIDIARY", "wholly_owned_sub", 14, 37), ("PARENT_SUBSIDIARY", "subsidiary_of", 27, 40), ("PARENT_SUBSIDIARY", "subsidiary", 27, 37))),
+    ("It was controlled by a shell company.", (("CONTROL_EXPLICIT", "controlled_by", 7, 20), ("SHELL_NOMINEE", "shell", 23, 36))),
+    ("A SAR on a wire transfer; sars are not.", (("FINANCIAL_FLOW", "wire_transfer", 11, 24), ("SAR_BSA", "sar", 2, 5))),
+    ("Ann Lee, owner of Acme LLC", (("OWNERSHIP_EXPLICIT", "owner_of", 9, 26), ("STRUCTURED", "person_role_entity", 0, 26))),
+    ("nothing here", ()),
+)
+
+
+def planted(spark, sf_dir) -> DataFrame:
+    sentence = F.element_at(F.array(*(F.lit(s) for s, _ in PLANTED)), (F.col("id") % len(PLANTED) + 1).cast("int"))
+    return texts(spark, sf_dir).select("id", F.concat("text", F.lit("\n"), sentence).alias("text"))
+
+
 def candidate_spans(spark, sf_dir):
-    """Lexicon spans with locators, each checked against the text."""
-    t = texts(spark, sf_dir).select("id", "text")
-    return corpus.locators_hold(corpus.spans(t), t).groupBy("category", "holds").agg(F.count(F.lit(1)).alias("n"))
+    """Spans with locators in every document with a sentence planted at its end; holds tells whether the text between them is the match."""
+    t = planted(spark, sf_dir)
+    found = corpus.locators_hold(corpus.spans(t), t)
+    return found.select("id", "category", "term", F.col("character_start").cast("long").alias("character_start"), F.col("character_end").cast("long").alias("character_end"), "holds")
 
 
 def citation_counts(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("text"))
-    return evidence.citations(rows).select("url", "citations", "documents")
+    """Citations in every document after which a sentence with some is put."""
+    k = F.col("id") % 4
+    more = F.when(k == 0, F.concat(F.lit("See https://GAO.gov/products/"), F.col("id") % 10, F.lit(". And GAO-20-157T."))).when(k == 1, F.lit("(http://www.fincen.gov/boi/), on beneficial ownership; https://example.org/x")).when(k == 2, F.lit("GAO 19 400 and GAO-19-400, https://www.congress.gov/bill/,"))
+    t = texts(spark, sf_dir).select("id", F.concat("text", F.lit("\n" + "x " * 120), F.coalesce(more, F.lit(""))).alias("text"))
+    known = spark.createDataFrame([("https://www.gao.gov/products/4/",)], "url string")
+    return evidence.citations(t, known).select("url", "kind", F.col("citations").cast("long").alias("citations"), F.col("topical").cast("long").alias("topical"), "documents", F.col("priority").cast("long").alias("priority"), F.array_join(F.col("sources").cast("array<string>"), ",").alias("sources"))
+
+
+def entity_harvest(spark, sf_dir):
+    """Names of entities from texts that hold one or two, by bucket weight and priority."""
+    d = table(spark, sf_dir, "documents")
+    bucket = F.element_at(F.array(*(F.lit(b) for b in ("ownership", "control", "congressional", "boi-cta"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    said = F.array(F.concat(F.lit("x Acme "), F.element_at(F.array(F.lit("North"), F.lit("South"), F.lit("East")), (F.col("doc_id") % 3 + 1).cast("int")), F.lit(" Holdings, Inc. and")), F.lit("x The Company; of Beta Trading LLC."))
+    return evidence.harvest(d.select(bucket.alias("bucket"), F.col("doc_id").alias("candidate_id"), F.col("doc_id").alias("id"), (F.col("doc_id") % 5).cast("double").alias("review_priority"), said.alias("texts"))).select("name", "score", F.array_join("buckets", ",").alias("buckets"), "example_id")
+
+
+def filing_queue(spark, sf_dir):
+    """Orders as filings of customers; three events of form 8-K for each customer at most."""
+    o = table(spark, sf_dir, "orders")
+    form = F.element_at(F.array(*(F.lit(x) for x in ("8-K", "10-K", "S-1", "SC 13D", "8-K"))), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    filings = o.select(F.col("o_custkey").alias("cik"), F.concat(F.lit("N"), F.col("o_custkey") % 9).alias("matched_name"), F.col("o_orderkey").alias("pos"), form.alias("form"), F.col("o_orderkey").cast("string").alias("accession"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed"), F.concat(F.lit("u"), "o_orderkey").alias("url"))
+    harvested = spark.range(9).select(F.concat(F.lit("N"), "id").alias("name"), (F.col("id") * 10.0).alias("score"))
+    return evidence.filing_queue(filings, harvested, o.where("o_orderkey % 2 = 0").select(F.concat(F.lit("u"), "o_orderkey").alias("url")))
+
+
+def register_matches(spark, sf_dir):
+    """Customers whose current or former name is on a list."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.concat(F.lit("New "), F.col("c_mktsegment"), F.lit(", Inc.")).alias("name"), F.array(F.concat(F.lit("Old "), F.col("c_nationkey")), F.lit("Ancient")).alias("former"))
+    listed = spark.createDataFrame([("NEW BUILDING INC",), ("OLD 3",), ("ANCIENT",)], "name string")
+    return evidence.register_matches(listed, c)
+
+
+def sequence_ids(spark, sf_dir):
+    return evidence.sequence_ids(table(spark, sf_dir, "documents").select("doc_id"), "asrt", "doc_id")
+
+
+def tier_sample(spark, sf_dir):
+    return corpus.tiers_sample(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars", "20260815").select("tier", "doc_id", F.col("place").cast("long").alias("place"))
+
+
+def inventory_conflicts(spark, sf_dir):
+    """Objects with the type that the first retrieval claimed and the one their bytes tell."""
+    p = table(spark, sf_dir, "pages")
+    objects = p.select(F.sha2("html", 256).alias("sha256"), F.octet_length("html").cast("long").alias("size_bytes"), scalars.sniff_mime(F.col("html").cast("binary")).alias("sniffed")).distinct()
+    claimed = F.when(F.col("page_id") % 3 == 0, "application/pdf").when(F.col("page_id") % 3 == 1, "Text/HTML; charset=utf-8").otherwise("text/plain")
+    got = p.select(F.sha2("html", 256).alias("sha256"), "url", F.format_string("%08d", "page_id").alias("retrieved_at"), claimed.alias("content_type"))
+    return corpus.inventory(objects, got).select("sha256", "size_bytes", "claimed_content_type", "sniffed_mime", "mime_conflict", "multi_url_object", "url_has_multiple_versions")
 
 
 def date_normalise(spark, sf_dir):
@@ -139,11 +209,6 @@ def amount_parse(spark, sf_dir):
     return o.select("o_orderkey", scalars.amount_usd(raw).alias("usd"))
 
 
-def posture_counts(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.element_at(F.array(*(F.lit(x) for x in ("SEC", "DOJ", "FINCEN", "CONGRESS_OVERSIGHT", "NCUA"))), (F.col("doc_id") % 5 + 1).cast("int")).alias("family"), F.when(F.col("doc_id") % 2 == 0, F.lit("https://x/complaint-1")).otherwise(F.lit("https://x/order-2")).alias("url"))
-    return d.groupBy(evidence.posture(F.col("family"), F.col("url"), F.lit("")).alias("posture")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def session_windows(spark, sf_dir):
     """Sessions of a user with gaps under 30 minutes."""
     e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
@@ -166,20 +231,38 @@ QUERIES = {
     f.__name__: f
     for f in (
         page_host_family, url_extension, html_title, visible_text_len, size_buckets, mime_sniff, response_classify, exact_dup_groups, multi_key_objects, boilerplate_lines, boilerplate_suppressed_len, near_dup_groups, line_offsets,
-        doc_priority_top10_sum, best_span_per_doc, span_cap_overflow, multi_label_counts, seeded_sample, document_classes, candidate_spans, citation_counts, date_normalise, amount_parse, posture_counts, session_windows, tumbling_windows, inventory_rows,
+        doc_priority_top10_sum, best_span_per_doc, span_cap_overflow, multi_label_counts, seeded_sample, document_classes, candidate_spans, citation_counts, entity_harvest, filing_queue, register_matches, sequence_ids, tier_sample, inventory_conflicts, date_normalise, amount_parse, session_windows, tumbling_windows, inventory_rows,
     )
 }
 BOILERPLATE_SQL = """lines AS (SELECT DISTINCT doc_id, source AS host, lower(trim(regexp_replace(x, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))) AS line_key FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS x FROM documents) u),
   per AS (SELECT host, line_key, count(*) AS docs FROM lines WHERE length(line_key) BETWEEN 20 AND 400 GROUP BY 1, 2), hosts AS (SELECT source AS host, count(*) AS total FROM documents GROUP BY 1 HAVING count(*) >= 20),
   model AS (SELECT per.host, line_key, docs FROM per JOIN hosts ON per.host = hosts.host WHERE docs >= greatest(5, total // 10))"""
+SEARCHABLE_SQL = BOILERPLATE_SQL + """, x AS (SELECT doc_id, source, pos, l[pos] AS line, lower(trim(regexp_replace(l[pos], '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))) AS k FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents) d, unnest(range(1, len(l) + 1)) u(pos)),
+  s AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE model.line_key IS NULL), '') AS t FROM x LEFT JOIN model ON model.host = x.source AND model.line_key = x.k GROUP BY doc_id)"""
 RANKED_SQL = "r AS (SELECT user_id AS id, event_id AS seq, event_type AS category, floor(value)::DOUBLE AS priority FROM events)"
 ORACLES = {
     "page_host_family": f"SELECT CASE WHEN host LIKE '%.net' THEN 'NET' WHEN host LIKE '%.org' THEN 'ORG' WHEN host LIKE '%.com' THEN 'COM' ELSE 'OTHER' END AS family, host, count(*) AS n FROM (SELECT {HOST_SQL} AS host FROM pages) p GROUP BY 1, 2",
     "url_extension": r"SELECT page_id, regexp_extract(lower(string_split(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/')[-1]), '\.([a-z0-9]{1,5})$', 1) AS extension FROM pages",
     "html_title": r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages",
     "visible_text_len": r"SELECT page_id, length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS n FROM pages",
-    "size_buckets": "SELECT CASE WHEN b = 0 THEN 'EMPTY' WHEN b < 1024 THEN 'UNDER_1K' WHEN b < 10240 THEN 'UNDER_10K' WHEN b < 102400 THEN 'UNDER_100K' WHEN b < 1048576 THEN 'UNDER_1M' WHEN b < 10485760 THEN 'UNDER_10M' ELSE '10M_AND_MORE' END AS bucket, count(*) AS n FROM (SELECT octet_length(encode(html)) AS b FROM pages) p GROUP BY 1",
-    "mime_sniff": "SELECT CASE page_id % 5 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'application/json' WHEN 2 THEN 'text/plain' ELSE 'text/html' END AS mime, count(*) AS n FROM pages GROUP BY 1",
+    "size_buckets": "SELECT CASE WHEN b < 10240 THEN '<10KB' WHEN b < 102400 THEN '10-100KB' WHEN b < 1048576 THEN '100KB-1MB' WHEN b < 10485760 THEN '1-10MB' WHEN b < 104857600 THEN '10-100MB' ELSE '>=100MB' END AS bucket, count(*) AS n FROM (SELECT octet_length(encode(html)) AS b FROM pages) p GROUP BY 1",
+    "mime_sniff": f"SELECT mime, count(*) AS n FROM pages JOIN (VALUES {', '.join(f"({k}, '{m}')" for k, (_, m) in enumerate(PREFIXES))}) c(k, mime) ON page_id % {len(PREFIXES)} = k GROUP BY mime",
+    "candidate_spans": "SELECT doc_id AS id, category, term, length(text) + 1 + a AS character_start, length(text) + 1 + b AS character_end, true AS holds FROM documents JOIN (VALUES "
+    + ", ".join(f"({k}, '{c}', '{t}', {a}, {b})" for k, (_, spans) in enumerate(PLANTED) for c, t, a, b in spans) + f") s(k, category, term, a, b) ON doc_id % {len(PLANTED)} = k",
+    "citation_counts": """WITH x AS (SELECT doc_id, 'https://www.gao.gov/products/' || (doc_id % 10) AS url, 'url' AS kind, 1 AS n, 0 AS t FROM documents WHERE doc_id % 4 = 0 AND doc_id % 10 <> 4 UNION ALL SELECT doc_id, 'GAO-20-157T', 'report', 1, 0 FROM documents WHERE doc_id % 4 = 0
+      UNION ALL SELECT doc_id, 'https://www.fincen.gov/boi', 'url', 1, 1 FROM documents WHERE doc_id % 4 = 1 UNION ALL SELECT doc_id, 'GAO-19-400', 'report', 2, 0 FROM documents WHERE doc_id % 4 = 2 UNION ALL SELECT doc_id, 'https://www.congress.gov/bill', 'url', 1, 0 FROM documents WHERE doc_id % 4 = 2)
+      SELECT url, kind, sum(n)::BIGINT AS citations, sum(t)::BIGINT AS topical, count(*) AS documents, (sum(t) * 3 + least(sum(n), 10) + CASE WHEN kind = 'report' THEN 2 ELSE 0 END)::BIGINT AS priority, array_to_string(list_sort(list(doc_id))[1:5], ',') AS sources FROM x GROUP BY url, kind""",
+    "entity_harvest": """WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'ownership' WHEN 1 THEN 'control' ELSE 'congressional' END AS b, CASE doc_id % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 3 END * (1 + (doc_id % 5) / 20.0) AS w, 'ACME ' || CASE doc_id % 3 WHEN 0 THEN 'NORTH' WHEN 1 THEN 'SOUTH' ELSE 'EAST' END || ' HOLDINGS' AS own FROM documents WHERE doc_id % 4 < 3),
+      n AS (SELECT doc_id, b, w, own AS name FROM d UNION ALL SELECT doc_id, b, w, 'BETA TRADING LLC' FROM d) SELECT name, round_even(sum(w)::DOUBLE, 6) AS score, string_agg(DISTINCT b, ',' ORDER BY b) AS buckets, min(doc_id) AS example_id FROM n GROUP BY name""",
+    "filing_queue": """WITH f AS (SELECT o_custkey AS cik, 'N' || (o_custkey % 9) AS matched_name, o_orderkey AS pos, CASE o_orderkey % 5 WHEN 1 THEN '10-K' WHEN 2 THEN 'S-1' WHEN 3 THEN 'SC 13D' ELSE '8-K' END AS form, strftime(o_orderdate, '%Y-%m-%d') AS filed FROM orders),
+      r AS (SELECT *, row_number() OVER (PARTITION BY cik, form ORDER BY pos) AS t, CASE form WHEN '10-K' THEN 8 WHEN 'SC 13D' THEN 10 ELSE 3 END AS fp FROM f WHERE form <> 'S-1')
+      SELECT cik, matched_name, form, pos::VARCHAR AS accession, filed, 'u' || pos AS url, round(fp * (1 + least((cik % 9) * 10, 50) / 25.0), 2)::DOUBLE AS priority, pos % 2 = 0 AS already_archived FROM r WHERE form <> '8-K' OR t <= 3""",
+    "register_matches": "SELECT c_custkey AS cik, CASE WHEN c_mktsegment = 'BUILDING' THEN 'NEW BUILDING INC' WHEN c_nationkey = 3 THEN 'OLD 3' ELSE 'ANCIENT' END AS matched_name FROM customer",
+    "sequence_ids": "SELECT doc_id, printf('asrt:%05d', row_number() OVER (ORDER BY doc_id)) AS sequence_id FROM documents",
+    "tier_sample": """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS p, count(*) OVER () AS n FROM documents), t AS (SELECT 'high' AS tier, doc_id FROM r WHERE p < n // 10 UNION ALL SELECT 'medium', doc_id FROM r WHERE p >= n // 3 AND p < 2 * n // 3 UNION ALL SELECT 'low', doc_id FROM r WHERE p >= n - n // 10)
+      SELECT * FROM (SELECT tier, doc_id, row_number() OVER (PARTITION BY tier ORDER BY sha256('20260815' || doc_id), doc_id) AS place FROM t) x WHERE place <= 25""",
+    "inventory_conflicts": """WITH g AS (SELECT sha256(html) AS sha256, url, page_id, octet_length(encode(html)) AS b, CASE page_id % 3 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'text/html' ELSE 'text/plain' END AS claimed FROM pages), v AS (SELECT url, count(DISTINCT sha256) > 1 AS several FROM g GROUP BY 1)
+      SELECT sha256, any_value(b) AS size_bytes, arg_min(claimed, page_id) AS claimed_content_type, 'text/html' AS sniffed_mime, arg_min(claimed, page_id) = 'application/pdf' AS mime_conflict, count(DISTINCT g.url) > 1 AS multi_url_object, bool_or(several) AS url_has_multiple_versions FROM g JOIN v ON v.url = g.url GROUP BY sha256""",
     "response_classify": r"""WITH t AS (SELECT page_id % 10 AS k, lower(html) AS low, octet_length(encode(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')))) AS n FROM pages), c AS (
       SELECT CASE WHEN k = 9 THEN 'ACCESS_INTERSTITIAL/HIGH' WHEN k IN (0, 1, 2) THEN 'ERROR_RESPONSE/HIGH' WHEN k = 4 THEN 'BOT_CHALLENGE/HIGH' WHEN k = 5 THEN 'REDIRECT_STUB/HIGH' WHEN k = 6 THEN 'APPLICATION_SHELL/MEDIUM' WHEN n >= 600 THEN 'REAL_CONTENT/HIGH' WHEN n < 300 AND len(string_split(low, '<script')) > 2 THEN 'APPLICATION_SHELL/MEDIUM' WHEN n >= 150 THEN 'THIN_REAL_CONTENT/MEDIUM' ELSE 'UNKNOWN_RESPONSE/LOW' END AS x FROM t)
       SELECT split_part(x, '/', 1) AS kind, split_part(x, '/', 2) AS confidence, count(*) AS n FROM c GROUP BY x""",
@@ -193,11 +276,11 @@ ORACLES = {
     "span_cap_overflow": f"WITH {RANKED_SQL} SELECT id, category, least(count(*), 10) AS kept, greatest(count(*) - 10, 0) AS overflow FROM r GROUP BY 1, 2",
     "multi_label_counts": "WITH l AS (SELECT list_filter([CASE WHEN n_chars > 2000 THEN 'LONG' END, CASE WHEN contains(text, '|') THEN 'TABLE' END, CASE WHEN regexp_matches(lower(text), 'licen[cs]e') THEN 'LICENSE' END, CASE WHEN regexp_matches(text, '[0-9]{3}') THEN 'NUMBERS' END], lambda x: x IS NOT NULL) AS l FROM documents) SELECT label, count(*) AS n FROM (SELECT unnest(CASE WHEN len(l) > 0 THEN l ELSE ['UNCLASSIFIED'] END) AS label FROM l) x GROUP BY label",
     "seeded_sample": "SELECT source, doc_id, place FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY sha256('20260815' || doc_id), doc_id) AS place FROM documents) x WHERE place <= 5",
-    "citation_counts": "SELECT url, count(*) AS citations, count(DISTINCT page_id) AS documents FROM pages GROUP BY url",
     "date_normalise": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders",
     "amount_parse": "SELECT o_orderkey, floor(o_totalprice)::DOUBLE * CASE WHEN o_orderkey % 2 = 0 THEN 1e6 ELSE 1 END AS usd FROM orders",
-    "posture_counts": "SELECT CASE doc_id % 5 WHEN 0 THEN CASE WHEN doc_id % 2 = 0 THEN 'GOVERNMENT_ALLEGATION' ELSE 'GOVERNMENT_FINDING' END WHEN 1 THEN 'GOVERNMENT_ALLEGATION' WHEN 2 THEN 'GOVERNMENT_FINDING' WHEN 3 THEN 'CONGRESSIONAL_ASSERTION' ELSE 'OTHER_DIRECT_ASSERTION' END AS posture, count(*) AS n FROM documents GROUP BY 1",
     "session_windows": "WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM g), c AS (SELECT user_id, k, count(*) AS n FROM s GROUP BY 1, 2) SELECT user_id, count(*) AS sessions, max(n) AS longest FROM c GROUP BY user_id",
     "inventory_rows": f"WITH {LOG_SQL}, g AS (SELECT sha256, url, count(*) AS n, min(retrieved_at) AS f FROM log WHERE sha256 IS NOT NULL GROUP BY 1, 2), s AS (SELECT sha256, max(content_length) AS b FROM log WHERE sha256 IS NOT NULL GROUP BY 1) SELECT g.sha256, any_value(b) AS size_bytes, true AS present, min(struct_pack(f := f, u := url))['u'] AS url, sum(n)::BIGINT AS retrieval_count, count(*) > 1 AS multi_url_object FROM g JOIN s ON s.sha256 = g.sha256 GROUP BY g.sha256",
     "tumbling_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
+CLASS_TESTS = [f"""CASE WHEN regexp_matches(t, '{p.replace("'", "''")}', '{'c' if n in lexicon.CASED else 'i'}') THEN '{n}' END""" for n, p in lexicon.CLASSES.items()]
+ORACLES["document_classes"] = f"""WITH {SEARCHABLE_SQL}, c AS (SELECT list_filter([{', '.join(CLASS_TESTS)}], lambda y: y IS NOT NULL) AS l FROM s) SELECT class, count(*) AS n FROM (SELECT unnest(CASE WHEN len(l) > 0 THEN l ELSE ['UNCLASSIFIED'] END) AS class FROM c) q GROUP BY class"""

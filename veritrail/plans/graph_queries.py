@@ -44,8 +44,7 @@ def relationship_persistence(spark, sf_dir):
 
 
 def competing_claims(spark, sf_dir):
-    c = graph.competing_claims(edges(spark, sf_dir))
-    return c.select("object_id", "subjects", "docs", F.size("claims").cast("long").alias("n_claims"), F.element_at("claims", 1)["source_date"].alias("first_date"), F.element_at("claims", 1)["subject_id"].alias("first_subject"))
+    return graph.competing_claims(edges(spark, sf_dir))
 
 
 def degree_count(spark, sf_dir):
@@ -114,7 +113,7 @@ def names(spark, sf_dir) -> DataFrame:
 
 
 NAMES_SQL = """n AS (SELECT CASE p_partkey % 3 WHEN 0 THEN 'The ' || b || ', Inc.' WHEN 1 THEN upper(b) ELSE b || ' Corp' END AS name, p_partkey FROM (SELECT p_partkey, 'Part ' || regexp_replace(p_type, '[^A-Za-z ]', '', 'g') || ' ' || p_brand AS b FROM part) q),
-k AS (SELECT name, p_partkey, trim(regexp_replace(trim(regexp_replace(lower(name), '[^a-z0-9&]+', ' ', 'g')), '^the ', '')) AS key FROM n)"""
+k AS (SELECT name, p_partkey, regexp_replace(regexp_replace(lower(name), '[.,]', '', 'g'), '^the ', '') AS key FROM n)"""
 
 
 def name_normalise(spark, sf_dir):
@@ -157,22 +156,66 @@ def checkpoint_diff(spark, sf_dir):
 
 
 def dup_of_prior_flag(spark, sf_dir):
+    """The rows that come first, by order and line."""
     e = edges(spark, sf_dir).select("subject_id", "assertion", "object_id", "row_id", "line")
-    return graph.first_seen_duplicates(e, ["subject_id", "assertion", "object_id"], ["row_id", "line"]).groupBy("is_duplicate").agg(F.count(F.lit(1)).alias("n"))
+    return graph.first_seen_duplicates(e, ["subject_id", "assertion", "object_id"], ["row_id", "line"]).where("not is_duplicate").drop("is_duplicate")
+
+
+def control_chains(spark, sf_dir):
+    """Every control path with the hosts of its hops, over the hierarchy with a host for each link."""
+    rows = hierarchy(spark, sf_dir, 1).withColumn("host", F.concat(F.lit("h"), F.length("object_id")))
+    return graph.chain_families(graph.paths(rows), rows).select(F.array_join("path", ">").alias("path"), F.array_join("families", ",").alias("families"), "cross_family")
+
+
+def merged_nodes(spark, sf_dir):
+    """Suppliers and customers of a nation as nodes of two kinds, linked along keys that differ by 10; links across kinds don't count."""
+    s, c = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    nodes = s.select(F.format_string("s%06d", "s_suppkey").alias("id"), F.lit("entity").alias("kind")).unionByName(c.select(F.format_string("c%06d", "c_custkey").alias("id"), F.lit("person").alias("kind")))
+    a = s.select(F.format_string("s%06d", "s_suppkey").alias("a"), F.format_string("s%06d", F.col("s_suppkey") + 10).alias("b"), F.lit("same key").alias("basis"))
+    b = c.where("c_custkey % 3 = 0").select(F.format_string("c%06d", "c_custkey").alias("a"), F.format_string("c%06d", F.col("c_custkey") + 1).alias("b"), F.lit("alias").alias("basis"))
+    x = s.select(F.format_string("s%06d", "s_suppkey").alias("a"), F.format_string("c%06d", "s_suppkey").alias("b"), F.lit("no link").alias("basis"))
+    made = graph.merge_typed(nodes, a.unionByName(b).unionByName(x))
+    return made.select("id", "kind", "survivor", F.coalesce(F.size("merged_from"), F.lit(0)).cast("long").alias("merged"), F.array_join("merge_basis", ",").alias("basis"))
+
+
+def merge_ranking(spark, sf_dir):
+    """Pairs of subjects that follow each other, the most central first; 50 are shown."""
+    e = edges(spark, sf_dir)
+    pairs = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("a"), F.concat(F.lit("s"), F.col("s_suppkey") + 1).alias("b"))
+    return graph.rank_merge_candidates(pairs, graph.centrality(e)).limit(50).withColumn("weight", F.round("weight", 4))
+
+
+def named_degrees(spark, sf_dir):
+    """Edges of one document with the names of their ends, as they are shown."""
+    nodes = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return graph.named_edges(edges(spark, sf_dir).where("source_sha256 = 'd1'").select("subject_id", "object_id"), nodes).groupBy("subject_name", "object_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dangling_ends(spark, sf_dir):
+    """violations() with entities: edges whose object is no known entity."""
+    known = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.col("p_partkey")).alias("entity_id")).where("entity_id not like '%7'").unionByName(table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("entity_id")))
+    return graph.violations(edges(spark, sf_dir), known).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def acronym_pairs(spark, sf_dir):
+    """Acronyms made from the names, against the names."""
+    n = names(spark, sf_dir).select("name")
+    short = n.select(F.left(acronym(F.col("name")), F.lit(3)).alias("name")).distinct()
+    return graph.acronym_pairs(n.unionByName(short))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        pair_collapse_best, controller_centrality, relationship_persistence, competing_claims, degree_count, constraint_violations, referential_integrity, multi_hop_paths, multi_hop_paths_all, reachability, reachability_all, component_sizes, component_sizes_all, name_normalise,
+        pair_collapse_best, controller_centrality, relationship_persistence, competing_claims, control_chains, merged_nodes, merge_ranking, named_degrees, dangling_ends, acronym_pairs, degree_count, constraint_violations, referential_integrity, multi_hop_paths, multi_hop_paths_all, reachability, reachability_all, component_sizes, component_sizes_all, name_normalise,
         spelling_vote, prefix_containment, suffix_stem_pairs, acronym_initials, dictionary_match_cardinality, checkpoint_diff, dup_of_prior_flag,
     )
 }
 STEM_SQL = "CASE WHEN regexp_matches(key, '( (inc|corp|co|ltd|llc|lp|llp|plc|sa|gmbh|ag|bv|nv))+$') AND len(string_split(regexp_replace(key, '( (inc|corp|co|ltd|llc|lp|llp|plc|sa|gmbh|ag|bv|nv))+$', ''), ' ')) >= 2 THEN regexp_replace(key, '( (inc|corp|co|ltd|llc|lp|llp|plc|sa|gmbh|ag|bv|nv))+$', '') WHEN len(string_split(key, ' ')) >= 2 THEN key END"
 ORACLES = {
-    "pair_collapse_best": f"WITH {EDGES_SQL} SELECT subject_id, object_id, round(max(weight), 6) AS weight, count(DISTINCT doc) AS docs, count(*) AS evidence FROM e GROUP BY 1, 2",
+    "pair_collapse_best": f"WITH {EDGES_SQL} SELECT subject_id, object_id, round(-b['w'], 6) AS weight, b['d'] AS source_sha256, b['t'] AS source_date, b['h'] AS host, b['p'] AS evidentiary_posture, docs, evidence FROM (SELECT subject_id, object_id, min({{'w': -weight, 'd': doc, 't': source_date, 'h': host, 'p': posture}}) AS b, count(DISTINCT doc) AS docs, count(*) AS evidence FROM e GROUP BY 1, 2) g",
     "controller_centrality": f"WITH {EDGES_SQL}, b AS (SELECT subject_id, object_id, max(weight) AS w FROM e GROUP BY 1, 2), h AS (SELECT subject_id, count(*) AS held, round(sum(w), 4) AS weight FROM b GROUP BY 1) SELECT h.subject_id, held, weight, evidence, postures, hosts FROM h JOIN (SELECT subject_id, count(*) AS evidence, count(DISTINCT posture) AS postures, count(DISTINCT host) AS hosts FROM e GROUP BY 1) x ON x.subject_id = h.subject_id",
-    "relationship_persistence": f"WITH {EDGES_SQL} SELECT subject_id, assertion, object_id, count(DISTINCT doc) AS docs, min(source_date) AS first_date, max(source_date) AS last_date, count(source_date) AS n_dated, string_agg(DISTINCT posture, ',' ORDER BY posture) AS postures FROM e GROUP BY 1, 2, 3 HAVING count(DISTINCT doc) >= 2",
+    "relationship_persistence": f"WITH {EDGES_SQL} SELECT subject_id, assertion, object_id, count(DISTINCT doc) AS docs, min(source_date) AS first_date, max(source_date) AS last_date, count(source_date) AS n_dated, string_agg(DISTINCT posture, ',' ORDER BY posture) AS postures, string_agg(DISTINCT host, ',' ORDER BY host) AS families FROM e GROUP BY 1, 2, 3 HAVING count(DISTINCT doc) >= 2",
     "degree_count": f"WITH {EDGES_SQL} SELECT node, count(*) AS degree FROM (SELECT subject_id AS node FROM e UNION ALL SELECT object_id FROM e) u GROUP BY node",
     "constraint_violations": f"WITH {EDGES_SQL} SELECT rule, count(*) AS n FROM (SELECT 'owner_not_direct' AS rule FROM e WHERE assertion = 'BENEFICIAL_OWNER' AND cls <> 'DIRECT' UNION ALL SELECT 'percent_range' FROM e WHERE pct NOT BETWEEN 0 AND 100) v GROUP BY rule",
     "referential_integrity": f"WITH {EDGES_SQL} SELECT object_id, count(*) AS n FROM e WHERE object_id NOT IN (SELECT 'p' || p_partkey FROM part WHERE p_partkey % 10 <> 7) GROUP BY 1",
@@ -187,6 +230,13 @@ ORACLES = {
     "dictionary_match_cardinality": "WITH r AS (SELECT upper('part ' || c_mktsegment) AS k, count(DISTINCT c_nationkey) AS n FROM customer GROUP BY 1), p AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'PART BUILDING' ELSE upper(p_name) END AS k FROM part) SELECT p_partkey, CASE WHEN coalesce(n, 0) < 1 THEN 'UNRESOLVED' WHEN n = 1 THEN 'PROBABLE_MATCH' ELSE 'AMBIGUOUS' END AS resolution, coalesce(n, 0) AS matches FROM p LEFT JOIN r ON p.k = r.k",
     "competing_claims": f"WITH {EDGES_SQL}, c AS (SELECT object_id, subject_id, doc, min(source_date) AS d FROM e WHERE assertion IN ('BENEFICIAL_OWNER', 'UNKNOWN_CONTROL_ROLE') GROUP BY 1, 2, 3) SELECT object_id, count(DISTINCT subject_id) AS subjects, count(DISTINCT doc) AS docs, count(*) AS n_claims, min(d) AS first_date, min({{'d': d, 's': subject_id}})['s'] AS first_subject FROM c GROUP BY object_id HAVING count(DISTINCT subject_id) >= 2 AND count(DISTINCT doc) >= 2",
     "checkpoint_diff": f"WITH {EDGES_SQL}, o AS (SELECT subject_id || '|' || assertion || '|' || object_id AS r, list(DISTINCT host) AS f, count(DISTINCT doc) AS d FROM e WHERE row_id % 10 < 8 GROUP BY 1), w AS (SELECT subject_id || '|' || assertion || '|' || object_id AS r, list(DISTINCT host) AS f, count(DISTINCT doc) AS d FROM e WHERE row_id % 10 > 0 GROUP BY 1) SELECT CASE WHEN o.r IS NULL THEN 'ADDED' WHEN w.r IS NULL THEN 'DROPPED' WHEN len(list_filter(w.f, lambda x: NOT list_contains(o.f, x))) > 0 THEN 'GAINED_FAMILY' WHEN w.d > o.d THEN 'MORE_DOCS' ELSE 'SAME' END AS change, count(*) AS n FROM o FULL OUTER JOIN w ON o.r = w.r GROUP BY 1",
-    "dup_of_prior_flag": f"WITH {EDGES_SQL} SELECT r > 1 AS is_duplicate, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY subject_id, assertion, object_id) AS r FROM e) x GROUP BY 1",
+    "dup_of_prior_flag": f"WITH {EDGES_SQL.replace('l_orderkey AS row_id', 'l_orderkey AS row_id, l_linenumber AS line')} SELECT subject_id, assertion, object_id, row_id, line FROM (SELECT *, row_number() OVER (PARTITION BY subject_id, assertion, object_id ORDER BY row_id, line) AS r FROM e) x WHERE r = 1",
+    "merged_nodes": """WITH n AS (SELECT printf('s%06d', s_suppkey) AS id, 'entity' AS kind, printf('s%06d', CASE WHEN s_suppkey % 10 = 0 THEN (SELECT min(s_suppkey) FROM supplier x WHERE x.s_suppkey % 10 = 0) ELSE (SELECT min(s_suppkey) FROM supplier x WHERE x.s_suppkey % 10 = supplier.s_suppkey % 10) END) AS survivor, 'same key' AS why FROM supplier
+      UNION ALL SELECT printf('c%06d', c_custkey), 'person', CASE WHEN c_custkey % 3 = 1 THEN printf('c%06d', c_custkey - 1) ELSE printf('c%06d', c_custkey) END, 'alias' FROM customer),
+      g AS (SELECT survivor, count(*) - 1 AS merged, any_value(why) AS why FROM n GROUP BY 1) SELECT n.id, n.kind, n.survivor, CASE WHEN n.id = n.survivor THEN merged ELSE 0 END AS merged, CASE WHEN n.id = n.survivor AND merged > 0 THEN g.why END AS basis FROM n JOIN g ON g.survivor = n.survivor""",
+    "merge_ranking": f"WITH {EDGES_SQL}, b AS (SELECT subject_id, object_id, max(weight) AS w FROM e GROUP BY 1, 2), h AS (SELECT subject_id, sum(w) AS w FROM b GROUP BY 1), p AS (SELECT 's' || s_suppkey AS a, 's' || (s_suppkey + 1) AS b FROM supplier) SELECT p.a, p.b, round(greatest(coalesce(x.w, 0), coalesce(y.w, 0)), 4) AS weight FROM p LEFT JOIN h x ON x.subject_id = p.a LEFT JOIN h y ON y.subject_id = p.b WHERE greatest(coalesce(x.w, 0), coalesce(y.w, 0)) > 0 ORDER BY greatest(coalesce(x.w, 0), coalesce(y.w, 0)) DESC, 1, 2 LIMIT 50",
+    "named_degrees": f"WITH {EDGES_SQL} SELECT coalesce(s_name, subject_id) AS subject_name, object_id AS object_name, count(*) AS n FROM e LEFT JOIN supplier ON 's' || s_suppkey = subject_id WHERE doc = 'd1' GROUP BY 1, 2",
+    "dangling_ends": f"WITH {EDGES_SQL} SELECT rule, count(*) AS n FROM (SELECT 'owner_not_direct' AS rule FROM e WHERE assertion = 'BENEFICIAL_OWNER' AND cls <> 'DIRECT' UNION ALL SELECT 'percent_range' FROM e WHERE pct NOT BETWEEN 0 AND 100 UNION ALL SELECT 'dangling_object_id' FROM e WHERE object_id NOT IN (SELECT 'p' || p_partkey FROM part WHERE p_partkey % 10 <> 7)) v GROUP BY rule",
 }
 ORACLES |= {f"{name}_all": ORACLES[name].replace(" WHERE s_suppkey % 5 = 0", "") for name in ("multi_hop_paths", "reachability")}
+ORACLES["control_chains"] = ORACLES["multi_hop_paths_all"].replace("SELECT array_to_string(path, '>') AS path, (len(path) - 1)::INTEGER AS hops, w AS weight FROM walk", "SELECT array_to_string(path, '>') AS path, array_to_string(list_transform(path[2:], lambda x: 'h' || length(x)), ',') AS families, len(list_distinct(list_transform(path[2:], lambda x: length(x)))) > 1 AS cross_family FROM walk")

@@ -134,9 +134,46 @@ def integrity_audit(spark, sf_dir):
 
 
 def chunk_packing(spark, sf_dir):
-    """Hosts whole into chunks; a driver-side pass over one row for each host."""
-    sizes = [(r["host"], r["n"]) for r in log(spark, sf_dir).groupBy("host").agg(F.count(F.lit(1)).alias("n")).collect()]
-    return spark.createDataFrame(sorted(logstate.pack_hosts(sizes, 3).items()), "host string, chunk int")
+    """Hosts whole into chunks of 1,500 lines; a driver-side pass over one row for each host, MAX_HOSTS at most."""
+    sizes = log(spark, sf_dir).groupBy("host").agg(F.count(F.lit(1)).alias("n")).orderBy("host").limit(logstate.MAX_HOSTS + 1).collect()
+    return spark.createDataFrame(sorted(logstate.pack_hosts([(r["host"], r["n"]) for r in sizes], 1500).items()), "host string, chunk int")
+
+
+def host_metrics(spark, sf_dir):
+    rows = log(spark, sf_dir)
+    seeds = known_urls(spark, sf_dir).select("url", scalars.host(F.col("url")).alias("host"), F.when(F.col("source") == "BUILDING", "sitemap:x").otherwise("seed").alias("discovered_via"))
+    return logstate.host_metrics(seeds, rows, rows.where("event_type = 'view' and seq % 50 = 0").select("host"), sitemap_cap=40)
+
+
+def source_precedence(spark, sf_dir):
+    """Seeds before the inventory before what the log alone knows; within the seeds the last line wins."""
+    seeds = table(spark, sf_dir, "orders").select(F.format_string("https://h%d.example.org/u/%d", F.col("o_custkey") % 7, F.col("o_custkey")).alias("url"), F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").alias("source"))
+    inventory = known_urls(spark, sf_dir).select("url", F.lit(0).cast("long").alias("seq"), "source")
+    return logstate.first_source(seeds, inventory, log(spark, sf_dir).select("url", "seq", F.lit("crawl").alias("source")))
+
+
+def capped_hosts(spark, sf_dir):
+    """The latest attempts of each host up to the host's cap; hosts without a cap go."""
+    caps = {"h0.example.org": 3, "h1.example.org": 5, "h2.example.org": 8}
+    return logstate.capped_groups(log(spark, sf_dir).select("host", "url", "retrieved_at", "seq"), "host", [F.desc("retrieved_at"), F.desc("seq")], caps).select("host", "seq", F.col("place").cast("long").alias("place"))
+
+
+def duplicate_ids(spark, sf_dir):
+    return logstate.duplicate_ids(table(spark, sf_dir, "orders").select(F.concat(F.lit("c"), "o_custkey").alias("id")), "id")
+
+
+def recovered_urls(spark, sf_dir):
+    """Urls that a link with a hash already recovers, of those in the log."""
+    from veritrail.operators import recovery
+
+    links = log(spark, sf_dir).select(F.col("url").alias("original_url"), F.when(F.col("seq") % 3 == 0, "SAME_DOCUMENT").when(F.col("seq") % 3 == 1, "RELATED").otherwise("ARCHIVED_VERSION").alias("relation"), "sha256")
+    return recovery.recovered(links)
+
+
+def log_rows(spark, sf_dir):
+    """Rows of a log and of its continuation, as they are counted before a rebuild."""
+    rows = log(spark, sf_dir)
+    return rows.where("seq % 2 = 0").unionByName(rows.where("seq % 2 = 1")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.trim("url") != "", 1)).alias("with_url"))
 
 
 def coverage_state(spark, sf_dir):
@@ -156,7 +193,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         ledger_rows, ledger_change_types, latest_per_key, queue_state, retry_eligible_topk, inventory_upsert, append_merge_by_id, left_anti_unprocessed, host_histogram, host_coverage_percentiles, two_level_topn,
-        distinct_ratio_having, unique_object_bytes, distinct_counts, many_histograms, integrity_audit, chunk_packing, coverage_state, idempotent_links,
+        distinct_ratio_having, unique_object_bytes, distinct_counts, many_histograms, integrity_audit, chunk_packing, host_metrics, source_precedence, capped_hosts, duplicate_ids, recovered_urls, log_rows, coverage_state, idempotent_links,
     )
 }
 KNOWN_SQL = "known AS (SELECT 'https://h' || (c_custkey % 7) || '.example.org/u/' || c_custkey AS url FROM customer)"
@@ -185,6 +222,21 @@ ORACLES = {
       l AS (SELECT url, seq, CASE WHEN seq % 12 = 0 THEN 'A' WHEN seq % 8 = 0 THEN 'S' ELSE 'M' END AS rel FROM log WHERE seq % 4 = 0 AND sha256 IS NOT NULL),
       d AS (SELECT url, arg_min(rel, seq) FILTER (WHERE rel <> 'A') AS direct, bool_or(rel = 'A') AS archived FROM l GROUP BY url)
       SELECT o.url, CASE WHEN direct = 'S' THEN 'ARCHIVED_CONTENT' WHEN direct IS NOT NULL THEN 'RECOVERED_OFFICIAL_MIRROR' WHEN archived THEN 'RECOVERED_WEB_ARCHIVE' WHEN st IN (401, 403) THEN 'ACCESS_RESTRICTED' WHEN st = 200 THEN 'UNRESOLVED_CHALLENGE' ELSE 'NON_CONTENT_TECHNICAL_RESPONSE' END AS state FROM o LEFT JOIN d ON o.url = d.url""",
+    "host_metrics": f"""WITH {LOG_SQL}, d AS (SELECT 'h' || (c_custkey % 7) || '.example.org' AS host, count(*) AS n, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS s FROM customer GROUP BY 1),
+      u AS (SELECT host, url, arg_max(content_length, seq) FILTER (WHERE sha256 IS NOT NULL) AS size FROM log GROUP BY 1, 2), a AS (SELECT host, count(*) AS attempted, count(size) AS archived, coalesce(sum(size), 0)::BIGINT AS bytes, trunc(round(quantile_cont(size, 0.5), 6))::BIGINT AS median, trunc(round(quantile_cont(size, 0.95), 6))::BIGINT AS p95 FROM u GROUP BY 1),
+      e AS (SELECT host, count(*) AS n FROM log WHERE event_type = 'view' AND seq % 50 = 0 GROUP BY 1)
+      SELECT coalesce(d.host, a.host) AS host, coalesce(d.n, 0) AS urls_discovered, coalesce(attempted, 0) AS urls_attempted, coalesce(archived, 0) AS urls_archived, coalesce(e.n, 0) AS non_content_captures, coalesce(archived, 0) - coalesce(e.n, 0) AS urls_with_content, coalesce(s, 0) >= 40 AS ceiling_hit, coalesce(bytes, 0) AS bytes,
+        median AS median_object_bytes, p95 AS p95_object_bytes FROM d FULL OUTER JOIN a ON a.host = d.host LEFT JOIN e ON e.host = coalesce(d.host, a.host)""",
+    "source_precedence": f"""WITH {LOG_SQL}, s AS (SELECT 'https://h' || (o_custkey % 7) || '.example.org/u/' || o_custkey AS url, arg_max(o_orderstatus, o_orderkey) AS source, 0 AS t FROM orders GROUP BY 1 UNION ALL SELECT 'https://h' || (c_custkey % 7) || '.example.org/u/' || c_custkey, c_mktsegment, 1 FROM customer UNION ALL SELECT DISTINCT url, 'crawl', 2 FROM log)
+      SELECT url, arg_min(source, t) AS source, min(t) AS source_number FROM s GROUP BY url""",
+    "capped_hosts": f"WITH {LOG_SQL}, r AS (SELECT host, seq, row_number() OVER (PARTITION BY host ORDER BY retrieved_at DESC, seq DESC) AS place FROM log) SELECT * FROM r WHERE place <= CASE host WHEN 'h0.example.org' THEN 3 WHEN 'h1.example.org' THEN 5 WHEN 'h2.example.org' THEN 8 ELSE 0 END",
+    "duplicate_ids": "SELECT 'c' || o_custkey AS id, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1",
+    "recovered_urls": f"WITH {LOG_SQL} SELECT DISTINCT url FROM log WHERE sha256 IS NOT NULL AND seq % 3 <> 1",
+    "log_rows": "SELECT count(*) AS n, count(*) AS with_url FROM events",
+    "chunk_packing": f"""WITH RECURSIVE {LOG_SQL}, s AS (SELECT host, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, host) AS i FROM log GROUP BY host),
+      p AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS load, ''::VARCHAR AS host, -1 AS chunk UNION ALL
+        SELECT q.i, CASE WHEN c <= len(q.load) THEN list_transform(q.load, lambda x, k: CASE WHEN k = c THEN x + n ELSE x END) ELSE list_append(q.load, n) END, q.host, c - 1 FROM (SELECT s.i, s.n, s.host, p.load, coalesce(list_filter(range(1, len(p.load) + 1), lambda k: p.load[k] + s.n <= 1500)[1], len(p.load) + 1) AS c FROM p JOIN s ON s.i = p.i + 1) q)
+      SELECT host, chunk::INTEGER AS chunk FROM p WHERE i > 0""",
     "idempotent_links": f"WITH {LOG_SQL} SELECT substr(sha256(url || '|' || sha256), 1, 16) AS link_key, min(seq) AS first_seq FROM log WHERE sha256 IS NOT NULL GROUP BY 1",
 }
 

@@ -26,8 +26,15 @@ def ocr_bands(spark, sf_dir):
     return recovery.ocr_priority(rows).groupBy("band").agg(F.count(F.lit(1)).alias("n"))
 
 
+OCR_SQL = """WITH p AS (SELECT url, page_id, CASE WHEN len(string_split(url, '/')) > 4 THEN array_to_string(string_split(url, '/')[1:len(string_split(url, '/')) - 2], '/') ELSE url END AS parent FROM pages), d AS (SELECT parent, count(*) AS n FROM p GROUP BY 1),
+  s AS (SELECT CASE WHEN page_id % 2 = 0 THEN 2 ELSE 0 END + CASE WHEN regexp_matches(lower(url), 'owner|shell|indict|settle|exhibit') THEN 3 WHEN regexp_matches(lower(url), 'report|order|filing|testimony') THEN 1 ELSE 0 END + CASE WHEN page_id % 3 = 0 THEN 2 ELSE 0 END
+    + CASE WHEN page_id % 5 BETWEEN 3 AND 200 THEN 1 ELSE 0 END + CASE WHEN n > 50 THEN 2 WHEN n > 10 THEN 1 ELSE 0 END AS score FROM p JOIN d ON d.parent = p.parent)
+  SELECT CASE WHEN score >= 6 THEN 'HIGH' WHEN score >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS band, count(*) AS n FROM s GROUP BY 1"""
+
+
 QUERIES = {f.__name__: f for f in (recovery_queue, ocr_bands)}
 ORACLES = {
+    "ocr_bands": OCR_SQL,
     "recovery_queue": """WITH q AS (SELECT 'https://docs.example.org/' || o_orderkey AS url, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS doc, CASE o_orderstatus WHEN 'F' THEN 'PENDING' WHEN 'O' THEN 'RETRY_LATER' ELSE 'RECOVERED_WEB_ARCHIVE' END AS st, o_orderkey % 3 AS a FROM orders),
       j AS (SELECT q.*, c.c_custkey AS m, st <> 'RECOVERED_WEB_ARCHIVE' AS is_open FROM q LEFT JOIN customer c ON c.c_custkey = q.doc AND c.c_custkey % 2 = 0),
       s AS (SELECT *, CASE WHEN NOT is_open THEN st WHEN doc IS NULL THEN 'NO_DOCUMENT_IDENTITY' WHEN m IS NOT NULL THEN 'RECOVERED_OFFICIAL_MIRROR' ELSE 'RETRY_LATER' END AS state FROM j)
