@@ -17,8 +17,11 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 31)))).first())
 
 
-def _with_value(rows: DataFrame, values: DataFrame, hot_links: int) -> DataFrame:
-    """rows(a, b) joined with values(a, m, n). Nodes of more than hot_links rows (of which there is one in hot_links rows at most) are broadcast, so that no task gets all rows of one."""
+def _with_value(rows: DataFrame, values: DataFrame, hot_links: int, most: int) -> DataFrame:
+    """rows(a, b), of which there are most at most, joined with values(a, m, n). Nodes of more than hot_links rows (of which there is one in hot_links rows at most) are broadcast,
+    so that no task gets all rows of one; with no more rows than that there are none."""
+    if most <= hot_links:
+        return rows.join(values.select("a", "m"), "a")
     hot = values.where(F.col("n") > hot_links).select("a", F.col("m").alias("hot"))
     marked = rows.join(F.broadcast(hot), "a", "left")
     cool = marked.where("hot is null").select("a", "b").join(values.where(F.col("n") <= hot_links).select("a", "m"), "a").select("a", "b", "m")
@@ -42,9 +45,9 @@ def connected_components(links: DataFrame, max_rounds: int = 100, hot_links: int
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = _with_value(both, least, hot_links).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = _with_value(both, least, hot_links, 2 * before[0]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = _with_value(large, lower, hot_links).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = _with_value(large, lower, hot_links, 2 * before[0]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct())
         after = _signature(edges)
         if after == before:
