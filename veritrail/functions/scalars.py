@@ -44,11 +44,11 @@ def parent_folder(url: Column) -> Column:
 
 
 def slug_title(url: Column) -> Column:
-    """Words of the last path segment, the first letter of each raised and the rest lowered."""
-    segment = F.element_at(F.filter(F.split(path(url), "/"), lambda x: x != ""), -1)
-    stem = F.regexp_replace(F.coalesce(segment, F.lit("")), r"\.[A-Za-z0-9]{1,5}$", "")
-    words = F.filter(F.split(stem, r"[-_ ]+"), lambda w: w != "")
-    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2))))), " ")
+    """The words of the last path segment without its extension, the first letter raised and the rest lowered; null for fewer than two words."""
+    segment = F.try_element_at(F.filter(F.split(path(url), "/"), lambda x: x != ""), F.lit(-1))
+    words = F.split(F.regexp_replace(segment, r"\.[A-Za-z0-9]{1,5}$", ""), "[-_]")
+    title = F.lower(F.trim(F.array_join(words, " ")))
+    return F.when((F.size(words) > 1) & (title != ""), F.concat(F.upper(F.left(title, F.lit(1))), F.substr(title, F.lit(2))))
 
 
 def html_title(page: Column) -> Column:

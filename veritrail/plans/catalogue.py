@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from veritrail.plans import corpus_queries, graph_queries, log_queries, recovery_queries, rule_queries
+from veritrail.plans import attach_queries, corpus_queries, graph_queries, log_queries, recovery_queries, rule_queries
 
-MODULES = (log_queries, graph_queries, corpus_queries, recovery_queries, rule_queries)
+MODULES = (log_queries, graph_queries, corpus_queries, recovery_queries, rule_queries, attach_queries)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -189,7 +189,59 @@ def extract_texts(stored: DataFrame) -> DataFrame:
     return stored.select("sha256", "mime", "content").mapInPandas(run, "sha256 string, status string, text string")
 
 
-def filing_index(filings: DataFrame) -> DataFrame:
-    """filings(cik, recent struct of parallel arrays) to a row for each accession."""
-    each = F.explode(F.arrays_zip("recent.accessionNumber", "recent.filingDate", "recent.reportDate", "recent.form"))
-    return filings.select("cik", each.alias("f")).select("cik", F.col("f.accessionNumber").alias("accession"), F.col("f.filingDate").alias("filed"), F.col("f.reportDate").alias("period"), F.col("f.form").alias("form"))
+# Where an archived company file tells its names.
+COMPANY_NAME = rb'"name":"([^"]{1,120})"'
+FORMER_NAMES = rb'(?s)"formerNames":\[(.*?)\]'
+
+
+def company_names(raw: bytes) -> list[str]:
+    """Names at the head of a company's JSON: the present one of the first 4,096 bytes, then the former ones of the first 8,192."""
+    former = re.search(FORMER_NAMES, raw[:8192])
+    found = re.findall(COMPANY_NAME, raw[:4096])[:1] + (re.findall(COMPANY_NAME, former.group(1)) if former else [])
+    return [n.decode("utf-8", "replace") for n in found]
+
+
+def zipped_names(archives: DataFrame, member: str = r"CIK(?!.*-submissions-).*\.json") -> DataFrame:
+    """archives(content) to (member, at, name): the names in each member whose path matches; members that can't be read go.
+
+    An archive is opened by the one task that holds it, its members are inflated one at a time. Cut very large archives before they are stored.
+    """
+    ship_package(archives.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
+                    for path in z.namelist():
+                        if not re.fullmatch(member, path):
+                            continue
+                        try:
+                            with z.open(path) as f:
+                                names = company_names(f.read(8192))
+                        except (zipfile.BadZipFile, OSError, EOFError, NotImplementedError, RuntimeError):
+                            continue
+                        if names:
+                            yield pd.DataFrame({"member": path, "at": range(len(names)), "name": names})
+
+    return archives.where("content is not null").select("content").mapInPandas(run, "member string, at int, name string")
+
+
+def newest_checkpoint(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The checkpoint with the greatest as_of (none counts as empty; ties: the last file) of a folder of JSON documents, one row."""
+    reader = spark.read.option("multiLine", "true")
+    found = (reader.schema(schema) if schema else reader).json(path)
+    named = found.withColumn("_file", F.col("_metadata.file_path"))
+    return named.orderBy(F.coalesce("as_of", F.lit("")).desc(), F.col("_file").desc()).limit(1).drop("_file")
+
+
+def filing_index(filings: DataFrame, overflow: DataFrame | None = None) -> DataFrame:
+    """filings(cik, recent struct of parallel arrays) to a row for each accession; overflow(cik, the same arrays as columns) has the older filings, which win over the recent ones."""
+    columns = ("accessionNumber", "filingDate", "reportDate", "form")
+    rows = filings.select("cik", F.lit(0).alias("turn"), *(F.col(f"recent.{c}").alias(c) for c in columns))
+    if overflow is not None:
+        rows = rows.unionByName(overflow.select("cik", F.lit(1).alias("turn"), *columns))
+    each = rows.select("cik", "turn", F.explode(F.arrays_zip(*columns)).alias("f"))
+    made = each.select("cik", F.col("f.accessionNumber").alias("accession"), "turn", F.col("f.filingDate").alias("filed"), F.col("f.reportDate").alias("period"), F.col("f.form").alias("form"))
+    if overflow is None:
+        return made.drop("turn")
+    return made.groupBy("cik", "accession").agg(F.max(F.struct("turn", "filed", "period", "form")).alias("m")).select("cik", "accession", "m.filed", "m.period", "m.form")
