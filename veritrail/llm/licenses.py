@@ -110,12 +110,9 @@ def band_seeds() -> list[int]:
 
 
 def bands(shingles: Column) -> Column:
-    """Structs (band, value): the least hash under each band's permutation."""
-
-    def least(seed: int) -> Column:
-        return F.array_min(F.transform(shingles, lambda h: h.bitwiseXOR(F.lit(seed))))
-
-    return F.array(*(F.struct(F.lit(i).alias("band"), least(s).alias("value")) for i, s in enumerate(band_seeds())))
+    """Structs (band, value): the least hash under each band's permutation. One expression for all bands keeps the generated code small."""
+    seeds = F.array(*(F.lit(s).cast("long") for s in band_seeds()))
+    return F.transform(seeds, lambda s, i: F.struct(i.alias("band"), F.array_min(F.transform(shingles, lambda h: h.bitwiseXOR(s))).alias("value")))
 
 
 def template_frame(spark: SparkSession, templates: Mapping[str, str]) -> DataFrame:
