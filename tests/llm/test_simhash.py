@@ -134,3 +134,15 @@ def test_near_dedup_is_determined_and_takes_any_columns(spark):
         got = kept.collect()
         assert len(got) == 1 and got[0].doc_id == 1
         assert got[0].k1 == (first := got[0].k1 if order is rows else first)
+
+
+@pytest.mark.parametrize("limit", [1, 64])
+def test_exploded_rows_are_never_broadcast(spark, limit):
+    """The rows of these tables count as few before they are exploded, which is why they were sent through the driver."""
+    rng = random.Random(8)
+    crowd = [signed(5 << 32 | rng.getrandbits(32)) for _ in range(40)]
+    links = near_links(spark.createDataFrame([(x,) for x in {*crowd, *(c ^ 2 for c in crowd)}], "fp long").distinct(), limit)
+    assert links.count() >= 40
+    links.collect()
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan

@@ -59,7 +59,10 @@ def fingerprint_udf(ngram: int = 3):
 
 
 def near_links(fingerprints: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that span the same components as all pairs at two or fewer bits."""
+    """Links (a, b) between distinct fingerprints (column fp) that span the same components as all pairs at two or fewer bits.
+
+    Spark takes exploded rows to be as many as before they were exploded, and so would broadcast up to 65 times the rows it has counted, by way of the driver. The hints forbid that.
+    """
     high = F.shiftrightunsigned("fp", 32)
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     flips = [1 << i for i in range(32)]
@@ -69,16 +72,16 @@ def near_links(fingerprints: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> Dat
     probes = rows.select("fp", F.explode(F.array(*ball, F.struct(F.lit(1).alias("seg"), F.col("low").alias("key")))).alias("e")).select(F.col("fp").alias("probe"), "e.seg", "e.key")
     sizes = entries.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"))
     # Of the buckets that are small: fetch and verify. Of the others: who touches them.
-    small = entries.join(sizes.where(F.col("n") <= bucket_limit).select("seg", "key"), ["seg", "key"])
-    pairs = probes.join(small, ["seg", "key"]).where((F.col("probe") != F.col("fp")) & (F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= MAX_DISTANCE))
+    small = entries.hint("merge").join(sizes.where(F.col("n") <= bucket_limit).select("seg", "key"), ["seg", "key"])
+    pairs = probes.hint("merge").join(small, ["seg", "key"]).where((F.col("probe") != F.col("fp")) & (F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= MAX_DISTANCE))
     links = pairs.select(F.least("probe", "fp").alias("a"), F.greatest("probe", "fp").alias("b"))
     large = sizes.where(F.col("n") > bucket_limit).select("seg", "key")
     # a crowded segment is one key: it is spread over SALTS
     salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    touching = probes.withColumn("salt", F.pmod(F.xxhash64("probe"), F.lit(SALTS)).cast("int")).join(salted, ["seg", "key", "salt"]).select(F.col("probe").alias("fp")).distinct()
+    touching = probes.withColumn("salt", F.pmod(F.xxhash64("probe"), F.lit(SALTS)).cast("int")).hint("merge").join(salted, ["seg", "key", "salt"]).select(F.col("probe").alias("fp")).distinct()
     whole_ball = [F.lit(0).cast("long"), *(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64))]
     keyed = touching.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(x) for x in whole_ball))).alias("key"))
-    stars = keyed.join(keyed.groupBy("key").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least"), "key")
+    stars = keyed.hint("merge").join(keyed.groupBy("key").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least"), "key")
     starred = stars.where((F.col("fp") != F.col("least")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= MAX_DISTANCE)).select(F.col("least").alias("a"), F.col("fp").alias("b"))
     return links.unionByName(starred).distinct()
 
