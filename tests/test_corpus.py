@@ -211,3 +211,16 @@ def test_entry_registers_names_once():
 
     names, oracles = entry.queries(), entry.oracle_sql()
     assert len(names) >= 40 and set(oracles) <= set(names)
+
+
+def test_candidate_spans_are_those_of_the_sql(spark, tmp_path):
+    """Repeated ids, null texts, texts with terms of their own (more than a category keeps), ids below zero and none."""
+    duckdb = pytest.importorskip("duckdb")
+    own = "Ann Lee, owner of Acme LLC. A shell company of a subsidiary, controlled by a SAR on a wire transfer."
+    rows = [(i, t) for i in (0, 1, 2, 3, 4, 5) for t in ("one\ntwo", "one\ntwo", "é \U0001f600", "", None, own, "\n".join([own] * 45))]
+    rows += [(-1, "a"), (-2, "b"), (-5, "c"), (None, "d"), (7 + 5 * 10**17, "e")]
+    spark.createDataFrame([(i, t, "h") for i, t in rows], "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    found = [tuple(r) for r in corpus_queries.candidate_spans(spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert sorted(map(repr, found)) == sorted(map(repr, con.execute(corpus_queries.ORACLES["candidate_spans"]).fetchall())) and len(found) > 60

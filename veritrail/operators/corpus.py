@@ -110,19 +110,21 @@ def line_offsets(texts: DataFrame) -> DataFrame:
     )
 
 
-def spans(texts: DataFrame) -> DataFrame:
+def spans(texts: DataFrame, most: int | None = MAX_SPANS, carry: tuple[str, ...] = ()) -> DataFrame:
     """texts(id, text) to a row per match: id, seq, category, term, line, character_start, character_end, matched_text, context_before, context_after, matched_groups (of structures; else empty).
 
-    seq is the place among the document's kept matches; of a category 40 stay in each document, overflow tells how many more there were.
+    seq is the place among the document's kept matches; of a category most (40; None: all) stay in each document, overflow tells how many more there were.
+    Each match carries the columns named in carry (without nulls), so that nothing has to be joined by ids, which may repeat.
     """
     ship_package(texts.sparkSession)
     schema = "id long, seq int, category string, term string, line int, character_start int, character_end int, matched_text string, context_before string, context_after string, matched_groups array<string>, overflow int"
+    schema = ", ".join([schema, *(f"{c} {texts.schema[c].dataType.simpleString()}" for c in carry)])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         patterns = lexicon.span_patterns()
         for batch in batches:
             out = []
-            for id_, text in zip(batch["id"], batch["text"], strict=True):
+            for id_, text, *carried in zip(batch["id"], batch["text"], *(batch[c] for c in carry), strict=True):
                 found: dict[str, list[tuple]] = {}
                 at = 0
                 lines = []
@@ -136,12 +138,16 @@ def spans(texts: DataFrame) -> DataFrame:
                 seq = 0
                 for rows in found.values():
                     rows.sort(key=lambda r: r[2])
-                    for r in rows[:MAX_SPANS]:
-                        out.append((id_, seq, *r, max(0, len(rows) - MAX_SPANS)))
+                    for r in rows[:most]:
+                        out.append((id_, seq, *r, max(0, len(rows) - len(rows[:most])), *carried))
                         seq += 1
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+                if carry and len(out) >= 1000:  # carried texts take room
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
 
-    return texts.select("id", "text").where(F.col("text").rlike(lexicon.SPAN_HINT)).mapInPandas(search, schema)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return texts.select("id", "text", *(c for c in carry if c != "text")).where(F.col("text").rlike(lexicon.SPAN_HINT)).mapInPandas(search, schema)
 
 
 def classes(texts: DataFrame) -> DataFrame:
@@ -205,9 +211,9 @@ def capped(ranked: DataFrame, group: str, cap: int) -> DataFrame:
     return ranked.groupBy("id", group).agg(F.least(F.count(F.lit(1)), F.lit(cap)).alias("kept"), F.greatest(F.count(F.lit(1)) - cap, F.lit(0)).alias("overflow"))
 
 
-def locators_hold(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """found with holds: the text between the offsets is the match."""
-    joined = found.join(texts.select("id", F.col("text").alias("_text")), "id")
+def locators_hold(found: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """found with holds: the text between the offsets is the match. Without texts(id, text), whose ids may not repeat, found carries the column text itself."""
+    joined = found.withColumn("_text", F.col("text")) if texts is None else found.join(texts.select("id", F.col("text").alias("_text")), "id")
     return joined.withColumn("holds", F.col("_text").substr(F.col("character_start") + 1, F.col("character_end") - F.col("character_start")) == F.col("matched_text")).drop("_text")
 
 
