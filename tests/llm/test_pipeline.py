@@ -59,3 +59,12 @@ def test_run_gives_the_last_stage(spark, tmp_path):
     spark.createDataFrame(labels[:30], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.count() > 0 and "sequence_id" in got.columns
+
+
+def test_near_dedup_sends_no_groups_through_the_driver(spark):
+    """Rows that stay are nearly as many as documents; they were broadcast wherever they had less than 10 MB."""
+    docs = spark.createDataFrame(corpus()[0], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.dedup_near(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == set(range(420))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan

@@ -113,6 +113,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Ids may repeat, in different groups too: each group has its own row, found by a key of the row's columns (maps, which have no hash, aside). Of a group's rows with the least
     id, the one with the least key stays; equal rows count as one. Rows without an id stand for their group only if no row of it has one. Columns of any name pass through.
+    There are nearly as many groups as rows: they are joined by merges, as in near_links.
     """
     small_batches(docs.sparkSession)
     hashed = [F.col(f"`{f.name}`") for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
@@ -120,7 +121,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     prints = cut(docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), fingerprint_udf()(text_of(text_col)).alias("fp")))
     per_print = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("id").alias("unnamed"), "id", "k1", "k2")).alias("first"))
     members = connected_components(near_links(per_print.select("fp")))
-    labelled = per_print.join(members.withColumnRenamed("node", "fp"), "fp", "left")
+    labelled = per_print.hint("merge").join(members.withColumnRenamed("node", "fp"), "fp", "left")
     firsts = cut(labelled.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first")).select("first.k1", "first.k2"))
-    kept = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2")).join(firsts, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    kept = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2")).join(firsts.hint("merge"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
